@@ -69,6 +69,7 @@ ORACLES["resolve_names"] = with_views(
     f"WITH {_resolved('SELECT raw_name FROM fx_names')} SELECT raw_name, canonical_name, match_score, matched_seed FROM res",
     "fx_seeds", "fx_names",
 )
+ORACLES["resolve_names_joined"] = ORACLES["resolve_names"]
 ORACLES["resolve_batch"] = with_views(
     f"WITH {_resolved('SELECT raw_name FROM fx_names')} SELECT raw_name, canonical_name FROM res", "fx_seeds", "fx_names"
 )
@@ -483,3 +484,25 @@ QUALIFY rank <= 10"""
 ORACLES["near_duplicates"] = """
 SELECT b.vec_id, min(a.vec_id) AS dup_of FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
 WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.4 GROUP BY b.vec_id"""
+
+# --- whole plans ---------------------------------------------------------------------------------------------------------------
+
+ORACLES["full_run"] = with_views(
+    f"""WITH {PAPERS}, {FIRST}, {GRAINS},
+rp AS (SELECT count(*) AS n FROM fs WHERE EXISTS (SELECT 1 FROM c WHERE c.source_rank = fs.source_rank
+ AND c.page_no = fs.page_no AND running_total - new_rows < 1000)),
+su AS (SELECT source_rank, href FROM fx_startups WHERE {_strip('name')} <> ''
+ QUALIFY row_number() OVER (PARTITION BY href ORDER BY source_rank, row_id) = 1),
+st AS (SELECT source_rank, count(*) AS n, sum(count(*)) OVER (ORDER BY source_rank) AS total FROM su GROUP BY source_rank),
+rs AS (SELECT coalesce(sum(n), 0) AS n FROM st WHERE total - n < 1000),
+pg AS (SELECT page_id % 40 AS page, count(*) AS n, sum(count(*)) OVER (ORDER BY page_id % 40) AS total
+ FROM fx_card_pages WHERE kind = 'product' GROUP BY 1),
+gap AS (SELECT min(p.page) AS page FROM range(0, 41) AS p(page) WHERE p.page NOT IN (SELECT page FROM pg)),
+rq AS (SELECT coalesce(sum(n), 0) AS n FROM pg, gap WHERE total - n < 1000 AND pg.page < gap.page),
+rj AS (SELECT count(*) AS n FROM fx_card_pages WHERE kind = 'job'),
+rn AS (SELECT count(*) AS n FROM fx_card_pages WHERE kind = 'news')
+SELECT 'STARTUP' AS record_type, CAST(n AS BIGINT) AS n_rows FROM rs UNION ALL SELECT 'PRODUCT', CAST(n AS BIGINT) FROM rq
+UNION ALL SELECT 'RESEARCH_PAPER', n FROM rp UNION ALL SELECT 'JOB', n FROM rj UNION ALL SELECT 'NEWS', n FROM rn
+UNION ALL SELECT 'MAPPING_LOG', CAST(rs.n + rq.n + rj.n AS BIGINT) FROM rs, rq, rj""",
+    "fx_papers", "fx_startups", "fx_card_pages",
+)

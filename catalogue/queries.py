@@ -13,7 +13,7 @@ from entityflow.functions import labels, names, text, times, urls
 from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, vectors
 from entityflow.plans import records, run
 from entityflow.schemas import CONTENT, DEFAULT_TARGET, JOB, NEWS, PRODUCT, REQUIRED, RESEARCH_PAPER, STARTUP, PRICING_VALUES
-from entityflow.session import configure, work_path
+from entityflow.session import configure, settle, work_path
 from entityflow.sinks import envelopes, tabs
 from entityflow.sources import cards, pages, papers, sites
 from entityflow.streaming import feeds
@@ -106,6 +106,11 @@ def name_uses(spark, sf):
     })
 
 
+def logged_uses(spark, sf):
+    uses = name_uses(spark, sf)
+    return resolve.mapping_log(uses, settle(resolve.resolve(uses), "name-map"))
+
+
 # --- names and resolution ------------------------------------------------------------
 
 
@@ -122,6 +127,13 @@ def resolve_names(spark, sf):
     return out.withColumn("match_score", F.bround("match_score", 1))
 
 
+@query
+def resolve_names_joined(spark, sf):
+    """The cascade as equality joins, the way it runs with a seed list of any length."""
+    out = resolve.resolve(view(spark, sf, "fx_names"), small=0)
+    return out.withColumn("match_score", F.bround("match_score", 1))
+
+
 @query
 def resolve_batch(spark, sf):
     return resolve.resolve_batch(view(spark, sf, "fx_names"))
@@ -129,9 +141,7 @@ def resolve_batch(spark, sf):
 
 @query
 def mapping_log(spark, sf):
-    uses = name_uses(spark, sf)
-    log = resolve.mapping_log(uses, resolve.resolve(uses))
-    return log.select(
+    return logged_uses(spark, sf).select(
         "table_rank", "record_type", "row_id", "raw_name", "canonical_name",
         F.bround("match_score", 1).alias("match_score"), "matched_seed",
     )
@@ -139,8 +149,7 @@ def mapping_log(spark, sf):
 
 @query
 def review_queue(spark, sf):
-    uses = name_uses(spark, sf)
-    log = filters.unmatched(resolve.mapping_log(uses, resolve.resolve(uses)))
+    log = filters.unmatched(logged_uses(spark, sf))
     return log.groupBy("raw_name", "canonical_name").agg(F.count(F.lit(1)).alias("n_uses"))
 
 
@@ -162,7 +171,7 @@ def resolve_low_threshold(spark, sf):
 @query
 def apply_mapping(spark, sf):
     products = envelopes.product_envelopes(view(spark, sf, "fx_products"), NOW, KEEP)
-    resolved = resolve.resolve(products, raw="content.startupName")
+    resolved = settle(resolve.resolve(products, raw="content.startupName"), "name-map")
     mapped = resolve.apply_mapping(products, resolved, "content.startupName")
     return mapped.select("row_id", "content.startupName", "content.pricingModel")
 
@@ -363,8 +372,7 @@ def union_sources(spark, sf):
 
 @query
 def run_summary(spark, sf):
-    uses = name_uses(spark, sf)
-    return reports.run_summary(envelope_tables(spark, sf), resolve.mapping_log(uses, resolve.resolve(uses)))
+    return reports.run_summary(envelope_tables(spark, sf), logged_uses(spark, sf))
 
 
 @query
@@ -407,8 +415,7 @@ def tab_news(spark, sf):
 
 @query
 def tab_mapping_log(spark, sf):
-    uses = name_uses(spark, sf)
-    return tabs.mapping_log_tab(resolve.mapping_log(uses, resolve.resolve(uses)))
+    return tabs.mapping_log_tab(logged_uses(spark, sf))
 
 
 @query
@@ -420,9 +427,8 @@ def tab_text(spark, sf):
 def publish_tabs(spark, sf):
     """All six tabs published; one line per tab with its rows."""
     made = envelope_tables(spark, sf)
-    uses = name_uses(spark, sf)
     wanted = {run.TABS[t][0]: run.TABS[t][1](df) for t, df in made.items()}
-    wanted["Entity Mapping Log"] = tabs.mapping_log_tab(resolve.mapping_log(uses, resolve.resolve(uses)))
+    wanted["Entity Mapping Log"] = tabs.mapping_log_tab(logged_uses(spark, sf))
     places = tabs.publish_tabs(wanted, folder=work_path(spark, "tabs"))
     return reports.run_summary({name: tabs.read_tab(spark, place) for name, place in places.items()})
 
@@ -685,9 +691,11 @@ def unseen_stream(spark, sf):
 def graph_inputs(spark, sf):
     startups = view(spark, sf, "fx_startups").select("row_id", F.col("name").alias("entityName"))
     products = view(spark, sf, "fx_products").select(F.col("name").alias("startupName"), "url")
+    both = resolve.occurrences({STARTUP: (startups, "entityName", None), PRODUCT: (products, "startupName", None)})
+    resolved = settle(resolve.resolve(both), "name-map")
     return (
-        resolve.apply_mapping(startups, resolve.resolve(startups, raw="entityName"), "entityName"),
-        resolve.apply_mapping(products, resolve.resolve(products, raw="startupName"), "startupName"),
+        resolve.apply_mapping(startups, resolved, "entityName"),
+        resolve.apply_mapping(products, resolved, "startupName"),
         usable_papers(spark, sf).select("paper_url", "authors"),
     )
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from entityflow.functions.names import normalize_name, squeeze, token_set
 from entityflow.functions.text import strip
 from entityflow.operators.similarity import best_seed_udf, lcs_length
+from entityflow.session import settle
 
 # Fixed value: the default canonical names, in rank order.
 SEED_NAMES = [
@@ -21,6 +22,7 @@ SEED_NAMES = [
 DEFAULT_THRESHOLD = 95.0
 MIN_LENGTH_RATIO = 0.6
 SCORER_SLICE = 5_000
+SMALL_DICTIONARY = 100
 
 
 def seed_table(spark: SparkSession, seeds: Sequence[str] | None = None) -> DataFrame:
@@ -33,7 +35,11 @@ def _seed_index(seeds: DataFrame, form: Column) -> DataFrame:
     return (
         seeds.withColumn("form", form)
         .groupBy("form")
-        .agg(F.min("seed_rank").alias("seed_order"), F.max_by("seed", "seed_rank").alias("canonical"))
+        .agg(
+            F.min("seed_rank").alias("seed_order"),
+            F.max("seed_rank").alias("last_rank"),
+            F.max_by("seed", "seed_rank").alias("canonical"),
+        )
     )
 
 
@@ -177,7 +183,8 @@ def best_scores(norms: DataFrame, seeds: DataFrame, slice_size: int = SCORER_SLI
         return norms.withColumn("b", best_seed_udf(rows)("norm")).select("norm", "b.*")
 
     parts, chunk = [], []
-    for form, seed_order, canonical in seeds_by_norm(seeds).orderBy("seed_order").toLocalIterator():
+    indexed = seeds_by_norm(seeds).select("form", "seed_order", "canonical")
+    for form, seed_order, canonical in indexed.orderBy("seed_order").toLocalIterator():
         chunk.append((form, seed_order, canonical))
         if len(chunk) == slice_size:
             parts.append(scored(chunk))
@@ -201,12 +208,72 @@ def best_fuzzy(norms: DataFrame, seeds: DataFrame, threshold: float = DEFAULT_TH
 # --- the cascade ----------------------------------------------------------------------
 
 
+def _small_dictionary(names: DataFrame, seeds: Sequence[Row]) -> DataFrame:
+    """All tiers as one expression over a seed list that fits into the plan: no join, no shuffle.
+
+    Adds exact_name, fuzzy_name, fuzzy_score to (raw_name, norm).
+    """
+    last_by_tight = {r["form"].replace(" ", ""): r["last_rank"] for r in sorted(seeds, key=lambda r: r["last_rank"])}
+    by_rank = {r["last_rank"]: r["canonical"] for r in seeds}
+    by_norm = {r["form"]: r["canonical"] for r in seeds}
+    by_tight = {tight: by_rank[rank] for tight, rank in last_by_tight.items()}
+
+    def literal_map(pairs: Mapping[str, str]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+    table = F.array(*[
+        F.struct(
+            F.lit(r["form"]).alias("form"), F.lit(len(r["form"])).alias("m"), F.lit(r["seed_order"]).alias("seed_order"),
+            F.lit(r["canonical"]).alias("canonical"),
+            F.array(*[F.lit(w) for w in sorted(set(r["form"].split()))]).cast("array<string>").alias("words"),
+        )
+        for r in seeds
+    ])
+    norm, n, words = F.col("norm"), F.length("norm"), F.col("__words")
+
+    def scored(s: Column) -> Column:
+        total = n + s["m"]
+        limit = _max_edits(total)
+        contained = (F.size(F.array_except(s["words"], words)) == 0) | (F.size(F.array_except(words, s["words"])) == 0)
+        close = (F.abs(n - s["m"]) <= limit) & (F.levenshtein(norm, s["form"]) <= limit)
+        dist = F.when(close, total - 2 * lcs_length(norm, s["form"]))
+        near = F.when(dist * 20 <= total, (1 - dist / total) * 100)
+        score = F.when(_near_in_length(n, s["m"]), F.coalesce(near, F.when(contained, 95.0)))
+        return F.struct(score.alias("score"), (-s["seed_order"]).alias("early"), s["canonical"].alias("canonical"))
+
+    exact = F.coalesce(
+        F.try_element_at(literal_map(by_norm), norm), F.try_element_at(literal_map(by_tight), squeeze("norm"))
+    )
+    candidates = F.filter(F.transform(table, scored), lambda c: c["score"].isNotNull())
+    tried = names.withColumn("exact_name", exact).withColumn("__words", token_set("norm"))
+    best = F.when(F.col("exact_name").isNull() & (n > 0), F.array_max(candidates))
+    return (
+        tried.withColumn("__best", best)
+        .withColumn("fuzzy_name", F.col("__best.canonical"))
+        .withColumn("fuzzy_score", F.col("__best.score"))
+        .drop("__words", "__best")
+    )
+
+
+def _large_dictionary(names: DataFrame, seeds: DataFrame, threshold: float) -> DataFrame:
+    """The same columns through equality joins, for seed lists of any size and other thresholds."""
+    tiers = lookup_tight(lookup_exact(names, seeds), seeds)
+    # Read by every branch of the fuzzy tier, hence written once.
+    tiers = settle(tiers.withColumn("exact_name", F.coalesce("exact_name", "tight_match")), "name-tiers")
+    open_norms = tiers.filter(F.col("exact_name").isNull()).select("norm").distinct()
+    fuzzy = best_fuzzy(open_norms, seeds, threshold).select(
+        "norm", F.col("canonical").alias("fuzzy_name"), F.col("score").alias("fuzzy_score")
+    )
+    return tiers.join(fuzzy, "norm", "left")
+
+
 def resolve(
     names: DataFrame,
     seeds: DataFrame | None = None,
     threshold: float = DEFAULT_THRESHOLD,
     raw: str = "raw_name",
     scores: bool = False,
+    small: int = SMALL_DICTIONARY,
 ) -> DataFrame:
     """One row per distinct raw name: raw_name, canonical_name, match_score, matched_seed.
 
@@ -214,28 +281,31 @@ def resolve(
     (its score), else the stripped raw name, unmatched. An unmatched name's
     score does not affect the result; ``scores=True`` fills it in with one
     Arrow pass over the distinct unmatched normal forms, else it is null.
+
+    Up to ``small`` seeds become part of the expression; longer lists are
+    joined. Both give the same result.
     """
     seeds = seed_table(names.sparkSession) if seeds is None else seeds
     distinct = names.select(F.col(raw).alias("raw_name")).filter(F.col("raw_name").isNotNull()).distinct()
-    tiers = lookup_tight(lookup_exact(distinct.withColumn("norm", normalize_name("raw_name")), seeds), seeds)
-    open_norms = (
-        tiers.filter(F.col("exact_name").isNull() & F.col("tight_match").isNull()).select("norm").distinct()
-    )
-    fuzzy = best_fuzzy(open_norms, seeds, threshold).select(
-        "norm", F.col("canonical").alias("fuzzy_name"), F.col("score").alias("fuzzy_score")
-    )
-    joined = tiers.join(fuzzy, "norm", "left")
-    exact = F.coalesce("exact_name", "tight_match")
+    named = distinct.withColumn("norm", normalize_name("raw_name"))
+    dictionary = seeds_by_norm(seeds).limit(small + 1).collect() if threshold == DEFAULT_THRESHOLD else []
+    if 0 < len(dictionary) <= small:
+        joined = _small_dictionary(named, dictionary)
+    else:
+        joined = _large_dictionary(named, seeds, threshold)
+    name = F.coalesce("exact_name", "fuzzy_name")
     other = F.lit(None).cast("double")
     if scores:
+        joined = settle(joined, "name-tiers")
+        open_norms = joined.filter(name.isNull()).select("norm").distinct()
         reported = best_scores(open_norms, seeds).select("norm", F.col("score").alias("open_score"))
         joined = joined.join(reported, "norm", "left")
         other = F.col("open_score")
     return joined.select(
         "raw_name",
-        F.coalesce(exact, "fuzzy_name", strip("raw_name")).alias("canonical_name"),
-        F.when(exact.isNotNull(), F.lit(100.0)).otherwise(F.coalesce(F.col("fuzzy_score"), other)).alias("match_score"),
-        F.coalesce(exact, "fuzzy_name").isNotNull().alias("matched_seed"),
+        F.coalesce(name, strip("raw_name")).alias("canonical_name"),
+        F.when(F.col("exact_name").isNotNull(), F.lit(100.0)).otherwise(F.coalesce(F.col("fuzzy_score"), other)).alias("match_score"),
+        name.isNotNull().alias("matched_seed"),
     )
 
 

@@ -10,6 +10,7 @@ from entityflow.operators.enrich import enrich_stars
 from entityflow.operators.filters import require, under_size_cap
 from entityflow.operators.reports import union_sources
 from entityflow.schemas import DEFAULT_TARGET, FRESHNESS_HOURS, MAX_BODY_BYTES, PAGE_CAP, PAGE_SIZE
+from entityflow.session import settle
 from entityflow.sinks.envelopes import job_envelopes, news_envelopes, paper_envelopes, product_envelopes, startup_envelopes
 from entityflow.sources.cards import extract_cards, extract_company_cards, extract_job_postings, extract_product_cards
 from entityflow.sources.papers import parse_feed_pages
@@ -22,7 +23,7 @@ def papers(entries: DataFrame, stars: DataFrame, run_ts, target: int | None = DE
     Pages of a category count up to its first empty page; pages are read
     until the target number of unique papers is met.
     """
-    usable = require(entries, ["title", "paper_url"])
+    usable = settle(require(entries, ["title", "paper_url"]), "feed-entries")
     reached = usable.join(contiguous_pages(usable), ["source_rank", "page_no"], "left_semi")
     unique = take_until(reached, "paper_url", target)
     return paper_envelopes(enrich_stars(unique, stars), run_ts, keep=("source_rank", "page_no", "row_id"))
@@ -69,7 +70,8 @@ def products(pages: DataFrame, sites: DataFrame, run_ts, target: int | None = DE
     numbered = _site_pages(pages, sites, "product").withColumn("page_no", _page_number()).filter(
         F.col("page_no") <= PRODUCT_PAGES
     )
-    cards = extract_product_cards(numbered, keep=("page_id", "source_rank", "page_no"))
+    # Markup is read once; the paging and target rules below reread only the small card table.
+    cards = settle(extract_product_cards(numbered, keep=("page_id", "source_rank", "page_no")), "product-cards")
     reached = cards.join(contiguous_pages(cards, first_page=1), ["source_rank", "page_no"], "left_semi")
     unique = take_until(reached.withColumnRenamed("card_no", "row_id"), "url", target)
     return product_envelopes(unique, run_ts)
@@ -77,6 +79,6 @@ def products(pages: DataFrame, sites: DataFrame, run_ts, target: int | None = DE
 
 def startups(pages: DataFrame, sites: DataFrame, run_ts, target: int | None = DEFAULT_TARGET) -> DataFrame:
     """Unique companies of the directory tags, whole tags until the target is met."""
-    cards = extract_company_cards(_site_pages(pages, sites, "company"))
+    cards = settle(extract_company_cards(_site_pages(pages, sites, "company")), "company-cards")
     unique = take_until(cards, "href", target, page=None, order=("source_rank", "page_id", "card_no"))
     return startup_envelopes(unique, run_ts)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from entityflow.operators.reports import or_empty, run_summary
 from entityflow.operators.resolve import DEFAULT_THRESHOLD, apply_mapping, mapping_log, occurrences, resolve
 from entityflow.schemas import JOB, NAME_FIELD, NEWS, PRODUCT, RECORD_TYPES, RESEARCH_PAPER, STARTUP, envelope_schema
+from entityflow.session import settle
 from entityflow.sinks.tabs import (
     jobs_tab,
     mapping_log_tab,
@@ -49,7 +50,7 @@ def resolve_records(
     """(records with canonical names, mapping log); papers and news carry no company name."""
     named = {t: records[t] for t in RECORD_TYPES if t in NAME_FIELD and t in records}
     uses = occurrences({t: (df, f"content.{NAME_FIELD[t]}", None) for t, df in named.items()})
-    resolved = resolve(uses, seeds, threshold, scores=scores)
+    resolved = settle(resolve(uses, seeds, threshold, scores=scores), "name-map")
     mapped = dict(records)
     for record_type, df in named.items():
         mapped[record_type] = apply_mapping(df, resolved, f"content.{NAME_FIELD[record_type]}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. They never override cluster sizing (executors, memory,
 # shuffle partitions): those belong to whoever submits the job.
@@ -58,3 +58,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{checkpoint_root(spark).rstrip('/')}/entityflow/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a result once to the shared folder and continue from the written table.
+
+    For results that several later steps read, or whose true size should
+    decide a join: the written table has exact statistics, so it is broadcast
+    when it is small and shuffled when it is not. It also survives the loss
+    of executors without recomputing what led to it.
+    """
+    place = work_path(df.sparkSession, label)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -87,30 +87,27 @@ def as_text(df: DataFrame, null: str = "None") -> DataFrame:
     return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null)).alias(c) for c in df.columns])
 
 
-def or_marker(df: DataFrame) -> DataFrame:
-    """The table, or one marker row when it is empty."""
-    if df.isEmpty():
-        return df.sparkSession.createDataFrame([(EMPTY_MARKER,)], "value string")
-    return df
-
-
 def publish_tabs(tabs: Mapping[str, DataFrame], folder: str | None = None, database: str | None = None) -> dict[str, str]:
-    """Replace each tab in full, creating it when absent.
+    """Replace each tab in full, creating it when absent; an empty tab then gets its one marker row.
 
     Tabs go to Parquet folders below ``folder`` or to tables of ``database``.
+    Emptiness is asked of the written tab, so its plan runs only once.
     """
     if (folder is None) == (database is None):
         raise ValueError("give either a folder or a database")
+
+    def put(df: DataFrame, place: str) -> None:
+        writer = df.write.mode("overwrite")
+        writer.parquet(place) if folder is not None else writer.saveAsTable(place)
+
     places = {}
     for name, df in tabs.items():
         table = name.lower().replace(" ", "_")
-        writer = or_marker(as_text(df)).write.mode("overwrite")
-        if folder is not None:
-            places[name] = f"{folder.rstrip('/')}/{table}"
-            writer.parquet(places[name])
-        else:
-            places[name] = f"{database}.{table}"
-            writer.option("overwriteSchema", "true").saveAsTable(places[name])
+        place = f"{folder.rstrip('/')}/{table}" if folder is not None else f"{database}.{table}"
+        put(as_text(df), place)
+        if read_tab(df.sparkSession, place).isEmpty():
+            put(df.sparkSession.createDataFrame([(EMPTY_MARKER,)], "value string"), place)
+        places[name] = place
     return places
 
 
