@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from catalogue.fixtures import NOW, table, view
 from entityflow.functions import labels, names, text, times, urls
-from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, vectors
+from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, timed, vectors
 from entityflow.plans import records, run
 from entityflow.schemas import CONTENT, DEFAULT_TARGET, JOB, NEWS, PRODUCT, REQUIRED, RESEARCH_PAPER, STARTUP, PRICING_VALUES
 from entityflow.session import configure, settle, work_path
@@ -70,10 +70,9 @@ def startup_rows(spark, sf):
 def news_rows(spark, sf):
     rows = view(spark, sf, "fx_news").select(
         "row_id", "title", urls.absolute_url("href", "base_url").alias("url"),
-        F.lit("Example News").alias("site_name"), F.col("base_url").alias("site_url"),
-        times.parse_time("raw_time", NOW).alias("published_at"),
+        F.lit("Example News").alias("site_name"), F.col("base_url").alias("site_url"), "raw_time",
     )
-    return filters.fresh_only(rows, "published_at", NOW)
+    return timed.fresh_by_text(rows, "raw_time", "published_at", NOW)
 
 
 def job_rows(spark, sf):
@@ -215,7 +214,7 @@ def fresh_news(spark, sf):
 
 @query
 def quarantined_times(spark, sf):
-    parsed = view(spark, sf, "fx_times").withColumn("parsed", times.parse_time("raw_time", NOW))
+    parsed = timed.add_time(view(spark, sf, "fx_times"), "raw_time", "parsed", NOW)
     _, bad = filters.split_bad(parsed, ["parsed"])
     return bad.select("event_id", "raw_time", F.array_join("faults", ",").alias("faults"))
 

@@ -109,27 +109,41 @@ def _fuzzy_dates(texts: pd.Series, nows: pd.Series) -> pd.Series:
     return pd.Series([read(t, n) for t, n in zip(texts, nows)], dtype="datetime64[us]")
 
 
+def clean_time_text(value) -> Column:
+    """What the time rules look at: stripped and lower-cased."""
+    return F.lower(strip(value))
+
+
+def read_time(text: Column, now) -> Column:
+    """The native time rules on an already cleaned text."""
+    now = as_instant(now)
+    return (
+        F.when(text.isin(NOW_WORDS), now)
+        .when(text == "yesterday", now - F.expr("INTERVAL 24 HOURS"))
+        .when(text.rlike(RELATIVE), _relative(text, now))
+        .otherwise(_absolute(text, now))
+    )
+
+
 def parse_time(value, now, fuzzy: bool = False) -> Column:
     """Time text to an instant: now-words, yesterday, '<n> <unit>s ago', then absolute dates.
 
     Absolute dates without an offset are UTC, a date without a year takes the
     year of ``now``. Unreadable text is null, never a guess. ``fuzzy=True``
     adds a lenient reader for the remainder (an Arrow batch function, called
-    for rows no native rule could read).
+    for rows no native rule could read). To filter on the result, prefer
+    ``operators.timed.add_time``.
     """
-    raw, now = as_col(value), as_instant(now)
-    text = F.lower(strip(raw))
-    native = (
-        F.when(F.coalesce(raw, F.lit("")) == "", F.lit(None).cast("timestamp"))
-        .when(text.isin(NOW_WORDS), now)
-        .when(text == "yesterday", now - F.expr("INTERVAL 24 HOURS"))
-        .when(text.rlike(RELATIVE), _relative(text, now))
-        .otherwise(_absolute(text, now))
-    )
-    if not fuzzy:
-        return native
-    leftover = F.when(native.isNull() & ~text.rlike(RELATIVE), empty_to_null(raw))
-    return F.coalesce(native, _fuzzy_dates(leftover, now))
+    # The lambda variable holds the cleaned text, so it is made once for all rules.
+    native = F.get(F.transform(F.array(clean_time_text(value)), lambda text: read_time(text, now)), F.lit(0))
+    return F.coalesce(native, fuzzy_time(value, native, now)) if fuzzy else native
+
+
+def fuzzy_time(value, native: Column, now) -> Column:
+    """Lenient reading where ``native`` is null; relative wording is never guessed at."""
+    raw = as_col(value)
+    leftover = F.when(native.isNull() & ~clean_time_text(raw).rlike(RELATIVE), empty_to_null(raw))
+    return _fuzzy_dates(leftover, as_instant(now))
 
 
 def fresh_range(ts, now, hours: int | None = FRESHNESS_HOURS) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityflow.operators.pin import pin
+
 # What each field type accepts, in lax mode:
 #   string     JSON string only
 #   integer    JSON integer or whole number, true/false, or a numeric string
@@ -96,17 +98,13 @@ def validate_json(
         T.StructField(f.name, f.dataType, f.nullable if required is None else f.name not in required)
         for f in schema.fields
     ])
-    doc = F.try_parse_json(raw)
+    parsed = pin(df, "__doc", F.try_parse_json(raw))
     value, ok = _read(F.col("__doc"), wanted)
     for field, allowed in (enums or {}).items():
         got = F.try_variant_get(F.col("__doc"), f"$.{field}", "string")
         ok = ok & (got.isNull() | got.isin(list(allowed)))
-    return (
-        df.withColumn("__doc", doc)
-        .withColumn("is_valid", F.coalesce(F.col("__doc").isNotNull() & ok, F.lit(False)))
-        .withColumn("parsed", F.when(F.col("is_valid"), value))
-        .drop("__doc")
-    )
+    checked = pin(parsed, "is_valid", F.coalesce(F.col("__doc").isNotNull() & ok, F.lit(False)))
+    return checked.withColumn("parsed", F.when(F.col("is_valid"), value)).drop("__doc")
 
 
 def first_valid(validated: DataFrame, doc: str = "doc_id", order: Sequence[str] = ("chunk_no", "provider_rank")) -> DataFrame:

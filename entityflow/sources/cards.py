@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 
 from entityflow.functions.text import empty_to_null, strip, unescape_entities
 from entityflow.functions.text import employee_count as employees
-from entityflow.functions.times import fresh_range, parse_iso, parse_time
+from entityflow.functions.times import parse_iso
 from entityflow.functions.urls import absolute_url
+from entityflow.operators.filters import fresh_only
+from entityflow.operators.pin import pin
+from entityflow.operators.timed import fresh_by_text
 from entityflow.schemas import FRESHNESS_HOURS
 from entityflow.sources.markup import Page, first, select, within
 from entityflow.sources.sites import COMPANY_CARD, COMPANY_SITE, PRODUCT_CARD
@@ -108,8 +111,7 @@ def extract_cards(pages: DataFrame, now, hours: int | None = FRESHNESS_HOURS, fu
     """Fresh news or job cards: (page_id, source_rank, site_name, site_url, card_no, title, url, published_at)."""
     keep = ["page_id", "source_rank", "site_name", "site_url"]
     cards = raw_cards(pages.filter(F.col("extractor") == "cards"), keep)
-    timed = cards.withColumn("published_at", parse_time("extra", now, fuzzy))
-    return timed.filter(fresh_range("published_at", now, hours)).select(
+    return fresh_by_text(cards, "extra", "published_at", now, hours, fuzzy).select(
         *keep, "card_no", "title", absolute_url("href", "site_url").alias("url"), "published_at"
     )
 
@@ -157,18 +159,14 @@ def extract_job_postings(
     """
     base = F.col(site_url) if isinstance(site_url, str) else site_url
     rows = pages.select("*", F.posexplode(F.regexp_extract_all("html", F.lit(JOB_ROW), 0)).alias("row_no", "__row"))
-    tag = F.regexp_extract("__row", OPEN_TAG, 0)
-    is_job = tag.rlike(r"(?is)\sclass=\"([^\"]*\s)?job(\s[^\"]*)?\"") & tag.rlike(r"(?is)\sdata-id(\s|=|>)")
-    record = F.from_json(F.regexp_extract("__row", JSON_SCRIPT, 1), JOB_RECORD)
-    read = (
-        rows.filter(is_job)
-        .withColumn("__tag", tag)
-        .withColumn("__rec", record)
-        .withColumn("published_at", parse_iso(strip("__rec.datePosted")))
-        .withColumn("__href", _attribute(F.col("__tag"), "data-href"))
+    rows = pin(rows.drop("html"), "__tag", F.regexp_extract("__row", OPEN_TAG, 0))
+    is_job = F.col("__tag").rlike(r"(?is)\sclass=\"([^\"]*\s)?job(\s[^\"]*)?\"") & F.col("__tag").rlike(r"(?is)\sdata-id(\s|=|>)")
+    read = pin(rows.filter(is_job), "__rec", F.from_json(F.regexp_extract("__row", JSON_SCRIPT, 1), JOB_RECORD))
+    read = pin(read, "published_at", parse_iso(strip("__rec.datePosted"))).withColumn(
+        "__href", _attribute(F.col("__tag"), "data-href")
     )
-    return read.filter(
-        (F.col("__rec.title") != "") & F.col("__href").isNotNull() & fresh_range("published_at", now, hours)
+    return fresh_only(read, "published_at", now, hours).filter(
+        (F.col("__rec.title") != "") & F.col("__href").isNotNull()
     ).select(
         *keep, "row_no", F.col("__rec.title").alias("title"), absolute_url("__href", base).alias("url"),
         _attribute(F.col("__tag"), "data-company").alias("company"), "published_at",
