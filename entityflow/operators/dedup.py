@@ -27,7 +27,7 @@ def first_seen(df: DataFrame, key: str, order: Sequence[str] = FIRST_SEEN_ORDER)
 
 def contiguous_pages(df: DataFrame, source: str = "source_rank", page: str = "page_no", first_page: int = 0) -> DataFrame:
     """(source, page) pairs before the first missing page: paging a source stops at an empty page."""
-    pages = df.groupBy(source, page).agg(F.count(F.lit(1)).alias("__rows"))
+    pages = df.filter(F.col(page) >= first_page).select(source, page).distinct()
     in_order = Window.partitionBy(source).orderBy(page)
     position = F.row_number().over(in_order) - 1 + F.lit(first_page)
     return pages.withColumn("__pos", position).filter(F.col("__pos") == F.col(page)).select(source, page)
