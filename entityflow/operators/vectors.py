@@ -30,11 +30,11 @@ def _stack(column: pd.Series) -> np.ndarray:
 def similar(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k most similar vectors of every query: (query_id, <id>, score, rank).
 
-    One scan: each Arrow batch is multiplied with the query matrix and sends
-    on only its own k best per query; those few are ranked in the end. Ties
-    go to the smaller id. ``queries`` (query_id, <vec>) is a search request
-    of at most MAX_QUERIES rows; its size is checked, larger batches are
-    answered by calling this in parts.
+    One scan: Arrow batches are multiplied with the query matrix, each task
+    keeps its running k best per query and sends on only those; they are
+    ranked in the end. Ties go to the smaller (integer) id. ``queries``
+    (query_id, <vec>) is a search request of at most MAX_QUERIES rows; its
+    size is checked, longer requests are answered by calling this in parts.
     """
     wanted = queries.select("query_id", vec_col).limit(MAX_QUERIES + 1).collect()
     if len(wanted) > MAX_QUERIES:
@@ -50,17 +50,25 @@ def similar(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     query_ids = [r[0] for r in wanted]
     query_matrix = _unit(np.array([r[1] for r in wanted], dtype=np.float64))
 
-    def best_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best_per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Running winners, one row per query.
+        best_scores = np.full((len(query_ids), 0), 0.0)
+        best_ids = np.empty((len(query_ids), 0), dtype=np.int64)
         for batch in batches:
             if not len(batch):
                 continue
             ids = batch[id_col].to_numpy()
-            scores = np.round(_unit(_stack(batch[vec_col])) @ query_matrix.T, SCORE_DIGITS)
-            for j, query_id in enumerate(query_ids):
-                top = np.lexsort((ids, -scores[:, j]))[:k]
-                yield pd.DataFrame({"query_id": query_id, id_col: ids[top], "score": scores[top, j]})
-
-    partial = emb.select(id_col, vec_col).mapInPandas(best_per_batch, out_schema)
+            fresh = np.round(query_matrix @ _unit(_stack(batch[vec_col])).T, SCORE_DIGITS)
+            scores = np.hstack([best_scores, fresh])
+            pool = np.hstack([best_ids, np.broadcast_to(ids, fresh.shape)])
+            order = np.lexsort((pool, -scores), axis=1)[:, :k]
+            best_scores, best_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(pool, order, 1)
+        width = best_ids.shape[1]
+        yield pd.DataFrame({
+            "query_id": np.repeat(np.array(query_ids), width), id_col: best_ids.ravel(), "score": best_scores.ravel()
+        })
+
+    partial = emb.select(id_col, vec_col).mapInPandas(best_per_task, out_schema)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(id_col))
     return partial.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
 

@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # page_window keeps the first 2000 rows per category; this lets the
     # optimizer cut each map task to its own first 2000 before the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "2000",
+    # Rows handed to a Python function at once. A page body may be megabytes
+    # long, so the usual 10,000 rows per batch could be tens of gigabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
@@ -56,8 +59,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{checkpoint_root(spark).rstrip('/')}/entityflow/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other step uses.
+
+    All paths of one application lie in one folder, which can be dropped when
+    the application has ended.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_root(spark).rstrip('/')}/entityflow/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

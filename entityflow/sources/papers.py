@@ -47,9 +47,14 @@ def read_papers(spark: SparkSession, path: str, per: str = "file", max_bytes: in
 
     Adds ``path``. Pages over the byte cap are rejected before they are read as XML.
     """
-    text = spark.read.text(path, wholetext=per == "file")
-    pages = text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
-    return parse_feed_pages(pages.filter(F.octet_length("body") <= max_bytes))
+    if per == "file":
+        # The length filter reaches the file listing, so an oversized file is never opened.
+        files = spark.read.format("binaryFile").load(path).filter(F.col("length") <= max_bytes)
+        pages = files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("body"))
+    else:
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+        pages = lines.filter(F.octet_length("body") <= max_bytes)
+    return parse_feed_pages(pages)
 
 
 def read_repo_stars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
