@@ -13,7 +13,7 @@ WHITESPACE = (
 )
 
 REPO_URL = r"(?U)https?://github\.com/[\w.-]+/[\w.-]+"
-REPO_PATH = r"(?U)github\.com/([\w.-]+)/([\w.-]+)"
+REPO_PATH = r"(?U)github\.com/([\w.-]+/[\w.-]+)"
 EMPLOYEES = r"(?i)([0-9,]+)\s+employees?"
 
 
@@ -60,10 +60,7 @@ def first_repo_url(value) -> Column:
 
 def repo_slug(value) -> Column:
     """'owner/repo' of a repository link, without a trailing '.git'."""
-    url = as_col(value)
-    owner = F.regexp_extract(url, REPO_PATH, 1)
-    repo = F.regexp_replace(F.regexp_extract(url, REPO_PATH, 2), r"\.git$", "")
-    return F.when(owner != "", F.concat(owner, F.lit("/"), repo))
+    return empty_to_null(F.regexp_replace(F.regexp_extract(as_col(value), REPO_PATH, 1), r"\.git$", ""))
 
 
 def unescape_entities(value) -> Column:

@@ -19,9 +19,10 @@ def first_seen(df: DataFrame, key: str, order: Sequence[str] = FIRST_SEEN_ORDER)
 
     The rank filter becomes a partial and a final group limit: each map task
     keeps one row per key before the shuffle, so a key holding a third of all
-    rows still sends only one row per task.
+    rows still sends only one row per task. Sorting by the key's hash first
+    spares comparing long texts with equal beginnings, as URLs have.
     """
-    by_key = Window.partitionBy(key).orderBy(*order)
+    by_key = Window.partitionBy(F.xxhash64(key), F.col(key)).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(by_key)).filter("__rn = 1").drop("__rn")
 
 
@@ -44,13 +45,18 @@ def target_grains(
 
     A grain is kept while the count of unique keys first seen in earlier
     grains is below the target, so the last kept grain may overshoot it. Only
-    the key and the grain are read; the cumulative sum runs per source, and
-    across sources on one row each.
+    the key and the grain (non-negative integers) are read; the cumulative
+    sum runs per source, and across sources on one row each.
     """
     target = target or DEFAULT_TARGET
     grain = [source] if page is None else [source, page]
-    earliest = df.groupBy(key).agg(F.min(F.struct(*grain)).alias("__g"))
-    fresh = earliest.groupBy(*[F.col(f"__g.{c}").alias(c) for c in grain]).agg(F.count(F.lit(1)).alias("new_rows"))
+    # Source rank and page number in one long: its minimum is a plain hash aggregate.
+    packed = F.shiftleft(F.col(source).cast("bigint"), 32) + (F.lit(0) if page is None else F.col(page))
+    unpacked = [F.shiftright("__g", 32).cast(df.schema[source].dataType).alias(source)]
+    if page is not None:
+        unpacked.append(F.col("__g").bitwiseAND(F.lit(0xFFFFFFFF)).cast(df.schema[page].dataType).alias(page))
+    earliest = df.groupBy(key).agg(F.min(packed).alias("__g"))
+    fresh = earliest.select(*unpacked).groupBy(*grain).agg(F.count(F.lit(1)).alias("new_rows"))
     # A grain whose every key was seen before still counts as read.
     grains = df.select(*grain).distinct().join(fresh, grain, "left").fillna(0, ["new_rows"])
 

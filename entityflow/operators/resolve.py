@@ -224,29 +224,41 @@ def _small_dictionary(names: DataFrame, seeds: Sequence[Row]) -> DataFrame:
     table = F.array(*[
         F.struct(
             F.lit(r["form"]).alias("form"), F.lit(len(r["form"])).alias("m"), F.lit(r["seed_order"]).alias("seed_order"),
-            F.lit(r["canonical"]).alias("canonical"),
-            F.array(*[F.lit(w) for w in sorted(set(r["form"].split()))]).cast("array<string>").alias("words"),
+            F.lit(r["canonical"]).alias("canonical"), F.array(*[F.lit(w) for w in _words(r["form"])]).cast("array<string>").alias("words"),
         )
         for r in seeds
     ])
     norm, n, words = F.col("norm"), F.length("norm"), F.col("__words")
 
+    # Most names share no word with any seed and have no seed's length, give or
+    # take the edit limit. Two cheap tests settle those.
+    vocabulary = sorted({w for r in seeds for w in _words(r["form"])})
+    lengths = sorted({
+        size for m in {len(r["form"]) for r in seeds} for size in range(m * 2 + 1) if abs(size - m) <= (size + m) // 20
+    })
+    possible = F.arrays_overlap(words, F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")) | n.isin(lengths)
+
+    def near_edits(s: Column) -> Column:
+        limit = _max_edits(n + s["m"])
+        return (F.abs(n - s["m"]) <= limit) & (F.levenshtein(norm, s["form"]) <= limit)
+
+    def contained(s: Column) -> Column:
+        return (F.size(F.array_except(s["words"], words)) == 0) | (F.size(F.array_except(words, s["words"])) == 0)
+
     def scored(s: Column) -> Column:
         total = n + s["m"]
-        limit = _max_edits(total)
-        contained = (F.size(F.array_except(s["words"], words)) == 0) | (F.size(F.array_except(words, s["words"])) == 0)
-        close = (F.abs(n - s["m"]) <= limit) & (F.levenshtein(norm, s["form"]) <= limit)
-        dist = F.when(close, total - 2 * lcs_length(norm, s["form"]))
+        dist = F.when(near_edits(s), total - 2 * lcs_length(norm, s["form"]))
         near = F.when(dist * 20 <= total, (1 - dist / total) * 100)
-        score = F.when(_near_in_length(n, s["m"]), F.coalesce(near, F.when(contained, 95.0)))
+        score = F.coalesce(near, F.when(contained(s), 95.0))
         return F.struct(score.alias("score"), (-s["seed_order"]).alias("early"), s["canonical"].alias("canonical"))
 
     exact = F.coalesce(
         F.try_element_at(literal_map(by_norm), norm), F.try_element_at(literal_map(by_tight), squeeze("norm"))
     )
-    candidates = F.filter(F.transform(table, scored), lambda c: c["score"].isNotNull())
-    tried = names.withColumn("exact_name", exact).withColumn("__words", token_set("norm"))
-    best = F.when(F.col("exact_name").isNull() & (n > 0), F.array_max(candidates))
+    close = F.filter(table, lambda s: _near_in_length(n, s["m"]) & (near_edits(s) | contained(s)))
+    candidates = F.filter(F.transform(close, scored), lambda c: c["score"].isNotNull())
+    tried = names.withColumn("exact_name", exact).withColumn("__words", F.split("norm", " "))
+    best = F.when(F.col("exact_name").isNull() & (n > 0) & possible, F.array_max(candidates))
     return (
         tried.withColumn("__best", best)
         .withColumn("fuzzy_name", F.col("__best.canonical"))
@@ -255,6 +267,10 @@ def _small_dictionary(names: DataFrame, seeds: Sequence[Row]) -> DataFrame:
     )
 
 
+def _words(form: str) -> list[str]:
+    return sorted(set(form.split()))
+
+
 def _large_dictionary(names: DataFrame, seeds: DataFrame, threshold: float) -> DataFrame:
     """The same columns through equality joins, for seed lists of any size and other thresholds."""
     tiers = lookup_tight(lookup_exact(names, seeds), seeds)
