@@ -49,23 +49,27 @@ def absolute_url(href, base) -> Column:
 def canonical_url(url) -> Column:
     """One spelling per page: https, lower-case host, no tracking parameters, fragment or final slash.
 
-    A text that is not an absolute URL is returned unchanged.
+    A text that is not an absolute URL is returned unchanged. The URL is cut
+    into (scheme, authority, path, query) once, by one pattern.
     """
     url = as_col(url)
-    scheme = F.lower(F.regexp_extract(url, PARTS, 1))
-    authority = F.regexp_extract(url, PARTS, 2)
-    user = F.regexp_extract(authority, r"^(.*@)?", 0)
-    host = F.lower(F.regexp_replace(authority, r"^.*@", ""))
-    path = F.regexp_replace(F.regexp_extract(url, PARTS, 3), r"/+$", "")
-    kept = F.filter(
-        F.split(F.regexp_extract(url, PARTS, 4), "&"),
-        lambda p: (p != "") & ~p.rlike(TRACKING_PARAM),
-    )
-    query = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    rebuilt = F.concat(
-        F.when(scheme == "http", "https").otherwise(scheme), F.lit("://"), user, host, path, query
-    )
-    return F.when(url.rlike(PARTS), rebuilt).otherwise(url)
+
+    def rebuilt(part: Column) -> Column:
+        scheme, authority, path, query = (F.get(part, F.lit(i)) for i in range(4))
+        host = F.when(
+            authority.contains("@"),
+            F.concat(F.regexp_extract(authority, r"^.*@", 0), F.lower(F.regexp_replace(authority, r"^.*@", ""))),
+        ).otherwise(F.lower(authority))
+        kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING_PARAM))
+        tail = F.when(query == "", "").otherwise(
+            F.array_join(F.transform(kept, lambda p, i: F.concat(F.when(i == 0, "?").otherwise("&"), p)), "")
+        )
+        https = F.when(F.lower(scheme) == "http", "https").otherwise(F.lower(scheme))
+        return F.concat(https, F.lit("://"), host, F.rtrim(path, F.lit("/")), tail)
+
+    # The pattern lists the parts between separators no URL contains.
+    parts = F.split(F.regexp_replace(url, PARTS, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
+    return F.coalesce(F.get(F.transform(F.filter(F.array(parts), lambda p: F.size(p) == 4), rebuilt), F.lit(0)), url)
 
 
 def url_key(url) -> Column:

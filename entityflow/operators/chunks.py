@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityflow.functions.text import as_col, build_prompt, collapse_whitespace
+from entityflow.operators.pin import pin
 from entityflow.schemas import MAX_CHUNK_CHARS
 
 
@@ -21,7 +22,10 @@ def chunk_array(text, max_chars: int = MAX_CHUNK_CHARS) -> Column:
     Paragraphs are packed greedily. One that does not fit closes the open
     chunk; one longer than the limit is cut. Empty text is one empty chunk.
     """
-    cleaned = collapse_whitespace(text)
+    return _packed(collapse_whitespace(text), max_chars)
+
+
+def _packed(cleaned: Column, max_chars: int) -> Column:
     none = F.array().cast("array<string>")
     size = F.lit(max_chars)
 
@@ -51,7 +55,8 @@ def chunk_array(text, max_chars: int = MAX_CHUNK_CHARS) -> Column:
 def chunk_text(df: DataFrame, text: str = "text", max_chars: int = MAX_CHUNK_CHARS) -> DataFrame:
     """One row per chunk: the other columns, ``chunk_no`` from 0 and ``chunk``. No shuffle."""
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(chunk_array(as_col(text), max_chars)).alias("chunk_no", "chunk"))
+    cleaned = pin(df, "__clean", collapse_whitespace(as_col(text)))
+    return cleaned.select(*others, F.posexplode(_packed(F.col("__clean"), max_chars)).alias("chunk_no", "chunk"))
 
 
 def with_prompt(chunks: DataFrame, schema_json: str) -> DataFrame:
