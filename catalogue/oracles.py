@@ -105,6 +105,71 @@ FROM fx_products p JOIN res ON res.raw_name = p.name""",
     "fx_seeds", "fx_products",
 )
 
+# The weighted ratio spelled out in SQL: every text pair the score needs goes through one
+# table-driven longest-common-subsequence (a row is the running maximum of its candidates).
+
+
+def _words(expr: str) -> str:
+    return f"list_filter(string_split({expr}, ' '), lambda t: t <> '')"
+
+
+def _joined(expr: str) -> str:
+    return f"coalesce(array_to_string(list_sort({expr}), ' '), '')"
+
+
+WINDOWS = """SELECT a, b, kind, sh AS x, substr(lg, greatest(1, e - length(sh) + 1), least(e, length(lg)) - greatest(1, e - length(sh) + 1) + 1) AS y
+ FROM (SELECT a, b, kind, sh, lg, unnest(range(1, length(lg) + length(sh))) AS e FROM sides WHERE sh <> '')"""
+SCORES = f"""
+wsd AS (SELECT min(seed_rank) AS rk, {_norm('seed')} AS b FROM fx_seeds GROUP BY 2),
+wnm AS (SELECT DISTINCT {_norm('raw_name')} AS a FROM fx_names),
+pr AS (SELECT a, b, rk, {_words('a')} AS wa, {_words('b')} AS wb FROM wnm, wsd),
+pw AS (SELECT *, list_filter(list_distinct(wa), lambda t: NOT list_contains(wb, t)) AS oa, list_filter(list_distinct(wb), lambda t: NOT list_contains(wa, t)) AS ob,
+ list_filter(list_distinct(wa), lambda t: list_contains(wb, t)) AS cm FROM pr),
+px AS (SELECT a, b, rk, {_joined('wa')} AS sa, {_joined('wb')} AS sb, {_joined('oa')} AS da, {_joined('ob')} AS db, {_joined('cm')} AS sc, len(wa) * len(wb) AS n_words,
+ CASE WHEN a = '' OR b = '' THEN 0 ELSE greatest(length(a), length(b))::DOUBLE / least(length(a), length(b)) END AS stretch FROM pw),
+tx AS (SELECT a, b, 'p' AS kind, a AS u, b AS v FROM px UNION ALL SELECT a, b, 's', sa, sb FROM px UNION ALL SELECT a, b, 'd', da, db FROM px),
+sides AS (SELECT a, b, kind, CASE WHEN length(u) <= length(v) THEN u ELSE v END AS sh, CASE WHEN length(u) <= length(v) THEN v ELSE u END AS lg FROM tx
+ UNION ALL SELECT a, b, kind, v, u FROM tx WHERE length(u) = length(v)),
+windows AS ({WINDOWS}),
+need AS (SELECT u AS x, v AS y FROM tx UNION SELECT x, y FROM windows),
+dp AS (SELECT x, y, 0 AS i, list_transform(range(0, length(y) + 1), lambda j: 0) AS r FROM need
+ UNION ALL SELECT x, y, i + 1, list_transform(range(1, length(y) + 2), lambda j: list_max(list_slice(cand, 1, j))) FROM (
+  SELECT x, y, i, list_transform(range(0, length(y) + 1), lambda j: CASE WHEN j = 0 THEN 0
+   ELSE greatest(r[j + 1], CASE WHEN substr(x, i + 1, 1) = substr(y, j, 1) THEN r[j] + 1 ELSE 0 END) END) AS cand FROM dp WHERE i < length(x))),
+lc AS (SELECT x, y, r[len(r)] AS n FROM dp WHERE i = length(x)),
+ra AS (SELECT a, b, kind, length(u) + length(v) - 2 * n AS dist, CASE WHEN length(u) + length(v) = 0 THEN 100.0
+  ELSE (1 - (length(u) + length(v) - 2 * n)::DOUBLE / (length(u) + length(v))) * 100 END AS score
+ FROM tx JOIN lc ON lc.x = tx.u AND lc.y = tx.v),
+pa AS (SELECT a, b, kind, max((1 - (length(w.x) + length(w.y) - 2 * n)::DOUBLE / (length(w.x) + length(w.y))) * 100) AS score
+ FROM windows w JOIN lc ON lc.x = w.x AND lc.y = w.y GROUP BY ALL),
+al AS (SELECT px.*, p.score AS plain, s.score AS sorted_score, d.dist AS dd, length(sc) AS sl, CASE WHEN sc = '' THEN 0 ELSE 1 END AS gap,
+  coalesce(pp.score, 0) AS part, coalesce(ps.score, 0) AS part_s, coalesce(pd.score, 0) AS part_d
+ FROM px JOIN ra p ON p.a = px.a AND p.b = px.b AND p.kind = 'p' JOIN ra s ON s.a = px.a AND s.b = px.b AND s.kind = 's'
+ JOIN ra d ON d.a = px.a AND d.b = px.b AND d.kind = 'd'
+ LEFT JOIN pa pp ON pp.a = px.a AND pp.b = px.b AND pp.kind = 'p' LEFT JOIN pa ps ON ps.a = px.a AND ps.b = px.b AND ps.kind = 's'
+ LEFT JOIN pa pd ON pd.a = px.a AND pd.b = px.b AND pd.kind = 'd'),
+ts AS (SELECT *, CASE WHEN n_words = 0 THEN 0.0 WHEN sc <> '' AND (da = '' OR db = '') THEN 100.0 ELSE greatest(
+   (1 - dd::DOUBLE / (2 * (sl + gap) + length(da) + length(db))) * 100,
+   CASE WHEN sc = '' THEN 0 ELSE (1 - (1.0::DOUBLE + length(da)) / (2 * sl + 1 + length(da))) * 100 END,
+   CASE WHEN sc = '' THEN 0 ELSE (1 - (1.0::DOUBLE + length(db)) / (2 * sl + 1 + length(db))) * 100 END) END AS set_score FROM al),
+wr AS (SELECT a, b, rk, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE
+  WHEN stretch < 1.5 THEN greatest(plain, greatest(sorted_score, set_score) * 0.95)
+  ELSE greatest(plain, part * sc_f, (CASE WHEN sc <> '' THEN 100.0 ELSE greatest(part_s, part_d) END) * 0.95 * sc_f) END AS score
+ FROM (SELECT *, CASE WHEN stretch <= 8 THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END AS sc_f FROM ts)),
+top AS (SELECT a, b, score FROM wr QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(score, 9) DESC, rk) = 1)"""
+ORACLES["resolve_scores"] = with_views(
+    f"WITH RECURSIVE {SCORES} SELECT a AS norm, b AS best_seed, round(score, 3) AS score FROM top", "fx_seeds", "fx_names"
+)
+LOW_FORM = f"(SELECT seed FROM fx_seeds WHERE {_norm('seed')} = top.b ORDER BY seed_rank DESC LIMIT 1)"
+LOW_OK = "(score >= 90 AND least(length(a), length(b))::DOUBLE / greatest(length(a), length(b), 1) >= 0.6)"
+ORACLES["resolve_low_threshold"] = with_views(
+    f"""WITH RECURSIVE {SCORES}, {_resolved('SELECT raw_name FROM fx_names')}
+SELECT ex.raw_name, coalesce(exact_name, tight_match, CASE WHEN {LOW_OK} THEN {LOW_FORM} END, {_strip('ex.raw_name')}) AS canonical_name,
+ CASE WHEN coalesce(exact_name, tight_match) IS NOT NULL THEN 100.0::DOUBLE ELSE round(score, 1) END AS match_score,
+ coalesce(exact_name, tight_match) IS NOT NULL OR {LOW_OK} AS matched_seed
+FROM ex JOIN top ON top.a = ex.norm""", "fx_seeds", "fx_names",
+)
+
 # --- times ------------------------------------------------------------------------------------
 
 REL = r"(\d+)\s*(second|minute|hour|day|week|month|year)s?\s*ago"

@@ -23,7 +23,7 @@ def con(sf):
 
 def test_every_oracle_has_its_query():
     assert set(oracle_sql()) <= set(queries())
-    assert sorted(set(queries()) - set(oracle_sql())) == ["resolve_low_threshold", "resolve_scores"]
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry(spark):
