@@ -74,26 +74,34 @@ def lookup_tight(names: DataFrame, seeds: DataFrame) -> DataFrame:
 # Both are reached by equality joins, so no name meets every seed.
 
 
-def _longest_word(words: Column) -> Column:
-    return F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-
-
 def _near_in_length(a: Column, b: Column) -> Column:
     return 2 * F.greatest(a, b) < 3 * F.least(a, b)
 
 
 def _word_candidates(names: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Pairs where one word set contains the other: they share the contained side's longest word."""
+    """Pairs where one word set contains the other.
+
+    They share the contained side's rarest word, as counted over the seeds,
+    so a word common to many seeds brings nobody together unless it is all
+    there is. A name with a word no seed has is contained in no seed.
+    """
     n = names.withColumn("words", token_set("norm")).withColumn("n", F.length("norm"))
     s = seeds.withColumn("seed_words", token_set("form")).withColumn("m", F.length("form"))
+    counts = s.select(F.explode("seed_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+
+    def rarest(df: DataFrame, key: str, words: str) -> DataFrame:
+        by_word = df.select(key, F.explode(words).alias("word")).join(counts, "word", "left")
+        best = by_word.groupBy(key).agg(F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "word")).alias("r"))
+        return best.filter("r.uses > 0").select(key, F.col("r.word").alias("word"))
+
     band = _near_in_length(F.col("n"), F.col("m"))
     inside_name = (
         n.withColumn("word", F.explode("words"))
-        .join(s.withColumn("word", _longest_word(F.col("seed_words"))), "word")
+        .join(s.join(rarest(s, "form", "seed_words"), "form"), "word")
         .filter(band & (F.size(F.array_except("seed_words", "words")) == 0))
     )
     inside_seed = (
-        n.withColumn("word", _longest_word(F.col("words")))
+        n.join(rarest(n, "norm", "words"), "norm")
         .join(s.withColumn("word", F.explode("seed_words")), "word")
         .filter(band & (F.size(F.array_except("words", "seed_words")) == 0))
     )
@@ -197,7 +205,8 @@ def best_scores(norms: DataFrame, seeds: DataFrame, slice_size: int = SCORER_SLI
 def best_fuzzy(norms: DataFrame, seeds: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Accepted fuzzy match per distinct ``norm``: (norm, canonical, score)."""
     if threshold == DEFAULT_THRESHOLD:
-        best = _native_fuzzy(norms, seeds_by_norm(seeds))
+        # The seed forms feed seven small joins; written once, each of them just reads it.
+        best = _native_fuzzy(norms, settle(seeds_by_norm(seeds), "seed-forms"))
     else:
         best = best_scores(norms, seeds)
     n, m = F.length("norm"), F.length("form")

@@ -104,6 +104,9 @@ def raw_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable]
             yield pd.DataFrame(rows, columns=[*keep, "card_no", *CARD_FIELDS])
 
     readable = pages.filter(F.col("html").isNotNull() & F.col("extractor").isin(sorted(known)))
+    # A card needs its time element, so a page without any never has to reach Python.
+    timeless = (F.col("extractor") == "cards") & (F.col("time_selector") == "time") & ~F.col("html").rlike(r"(?i)<time\b")
+    readable = readable.filter(~timeless) if not extractors else readable
     return readable.select(*columns).mapInPandas(extract, schema)
 
 

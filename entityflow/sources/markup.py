@@ -45,6 +45,10 @@ class Page(HTMLParser):
         self.feed(html)
         self.close()
 
+    def updatepos(self, i, j):
+        """Line numbers are never asked for; counting them is a tenth of the reading time."""
+        return j
+
     def handle_starttag(self, tag, attrs):
         parent = self._open[-1]
         node = Node(tag, {k: v or "" for k, v in attrs}, parent)
