@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityflow.session import work_path
+from entityflow.session import settle
 
 SCORE_DIGITS = 6
 MAX_QUERIES = 1_000
@@ -110,6 +111,51 @@ def _assign(pivots: np.ndarray, reach: float, id_col: str, vec_col: str):
     return assign
 
 
+def _compare_blocks(
+    left: DataFrame, right: DataFrame, min_cos: float, block_rows: int, id_col: str, vec_col: str, id_type: T.DataType
+) -> DataFrame:
+    """(cell, id, dup_of): for every right row the lowest-id left row of its cell that is near and earlier.
+
+    Both sides of a cell are cut into blocks of about ``block_rows`` and each
+    pair of blocks is one group, so a group holds two blocks however large
+    its cell is. Inside a group the rows are compared by one matrix product.
+    """
+
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    # One small row per cell, at most one per pivot.
+    counts = F.broadcast(sizes(left, "left_blocks").join(sizes(right, "right_blocks"), "cell"))
+
+    def block(count: str) -> Column:
+        return F.pmod(F.xxhash64(id_col), F.col(count)).cast("int")
+
+    def copies(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    sides = [
+        left.join(counts, "cell").withColumn("lb", block("left_blocks")).withColumn("rb", copies("right_blocks")).withColumn("side", F.lit(0)),
+        right.join(counts, "cell").withColumn("rb", block("right_blocks")).withColumn("lb", copies("left_blocks")).withColumn("side", F.lit(1)),
+    ]
+    both = reduce(DataFrame.unionByName, [s.select("cell", "lb", "rb", "side", id_col, vec_col) for s in sides])
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        a = group[group["side"] == 0].sort_values(id_col)
+        b = group[group["side"] == 1]
+        if a.empty or b.empty:
+            return pd.DataFrame({"cell": [], id_col: [], "dup_of": []})
+        ids_a, ids_b = a[id_col].to_numpy(), b[id_col].to_numpy()
+        near = (_stack(b[vec_col]) @ _stack(a[vec_col]).T >= min_cos) & (ids_a[None, :] < ids_b[:, None])
+        hit = near.any(axis=1)
+        return pd.DataFrame({"cell": group["cell"].iloc[0], id_col: ids_b[hit], "dup_of": ids_a[near.argmax(axis=1)[hit]]})
+
+    schema = T.StructType([
+        T.StructField("cell", T.IntegerType()), T.StructField(id_col, id_type), T.StructField("dup_of", id_type)
+    ])
+    found = both.groupBy("cell", "lb", "rb").applyInPandas(compare, schema)
+    return found.groupBy("cell", id_col).agg(F.min("dup_of").alias("dup_of"))
+
+
 def near_duplicates(
     emb: DataFrame,
     min_cos: float,
@@ -122,16 +168,19 @@ def near_duplicates(
 
     Exact: every vector with a lower-id vector at cosine >= ``min_cos`` is
     listed. The result has one row per vector instead of one per pair, so a
-    story copied n times gives n - 1 rows. Equal vectors are collapsed
-    before any comparison. Cells larger than a block are split into blocks
-    of about ``block_rows``, so no task gathers a whole hot cell.
+    story copied n times gives n - 1 rows. Equal vectors are collapsed before
+    any comparison. The members of a cell are first compared with its
+    earliest block alone: a match there is the earliest of the cell, so a
+    crowd of near-copies is settled in one linear pass. Only rows without
+    such a match meet the rest of their cell.
     """
     spark = emb.sparkSession
+    id_type = emb.schema[id_col].dataType
     copies = emb.select(id_col, vec_col)
     # One row per distinct vector, written once: it is read for the pivots, the cells and the result.
-    table = work_path(spark, "distinct-vectors")
-    copies.groupBy(vec_col).agg(F.min(id_col).alias(id_col)).write.parquet(table)
-    distinct = spark.read.parquet(table)
+    distinct = settle(
+        copies.groupBy(vec_col).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("n_copies")), "distinct-vectors"
+    )
     n = distinct.count()
     if n == 0:
         return copies.select(id_col, F.col(id_col).alias("dup_of")).limit(0)
@@ -140,57 +189,35 @@ def near_duplicates(
     pivot_matrix = np.unique(_unit(np.array([r[vec_col] for r in picked], dtype=np.float64)), axis=0)
     reach = float(np.sqrt(max(0.0, 2 - 2 * min_cos)))
 
-    id_field = emb.schema[id_col]
     placed_schema = T.StructType([
-        id_field, T.StructField("cell", T.IntegerType()), T.StructField("is_home", T.BooleanType()),
+        emb.schema[id_col], T.StructField("cell", T.IntegerType()), T.StructField("is_home", T.BooleanType()),
         T.StructField(vec_col, T.ArrayType(T.DoubleType())),
     ])
-    cells = work_path(spark, "vector-cells")
     assign = _assign(pivot_matrix, reach, id_col, vec_col)
-    distinct.select(id_col, vec_col).mapInPandas(assign, placed_schema).write.parquet(cells)
-    placed = spark.read.parquet(cells)
-    # One small row per cell, at most one per pivot: how many blocks each side is cut into.
-    sizes = placed.groupBy("cell").agg(
-        F.ceil(F.count(F.when(F.col("is_home"), 1)) / block_rows).cast("int").alias("left_blocks"),
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("right_blocks"),
-    )
-    sized = placed.join(F.broadcast(sizes), "cell").filter("left_blocks > 0")
+    placed = settle(distinct.select(id_col, vec_col).mapInPandas(assign, placed_schema), "vector-cells")
+    home = placed.filter("is_home")
 
-    def block(count: str) -> Column:
-        return F.pmod(F.xxhash64(id_col), F.col(count)).cast("int")
+    # The earliest block of each cell; the rank filter cuts every map task to one block per cell.
+    by_age = Window.partitionBy("cell").orderBy(id_col)
+    early = home.withColumn("__rn", F.row_number().over(by_age)).filter(F.col("__rn") <= block_rows)
+    early = settle(early.select("cell", id_col, vec_col), "early-vectors")
 
-    left = (
-        sized.filter("is_home").withColumn("lb", block("left_blocks"))
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("right_blocks") - 1))).withColumn("side", F.lit(0))
-    )
-    right = (
-        sized.withColumn("rb", block("right_blocks"))
-        .withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1))).withColumn("side", F.lit(1))
-    )
-    both = left.unionByName(right).select("cell", "lb", "rb", "side", id_col, vec_col)
-
-    def compare(block_rows_: pd.DataFrame) -> pd.DataFrame:
-        a, b = block_rows_[block_rows_["side"] == 0], block_rows_[block_rows_["side"] == 1]
-        if a.empty or b.empty:
-            return pd.DataFrame({id_col: [], "dup_of": []})
-        a = a.sort_values(id_col)
-        ids_a, ids_b = a[id_col].to_numpy(), b[id_col].to_numpy()
-        near = (_stack(b[vec_col]) @ _stack(a[vec_col]).T >= min_cos) & (ids_a[None, :] < ids_b[:, None])
-        hit = near.any(axis=1)
-        return pd.DataFrame({id_col: ids_b[hit], "dup_of": ids_a[near.argmax(axis=1)[hit]]})
+    def compared(left: DataFrame, right: DataFrame) -> DataFrame:
+        return _compare_blocks(left, right, min_cos, block_rows, id_col, vec_col, id_type)
 
-    found_schema = T.StructType([id_field, T.StructField("dup_of", id_field.dataType)])
-    found = (
-        both.groupBy("cell", "lb", "rb").applyInPandas(compare, found_schema)
-        .groupBy(id_col).agg(F.min("dup_of").alias("dup_of"))
+    first_pass = settle(compared(early, placed), "early-matches")
+    keys = ["cell", id_col]
+    later = compared(
+        home.join(early.select(*keys), keys, "left_anti"), placed.join(first_pass.select(*keys), keys, "left_anti")
     )
-    # Back to the copies: a copy follows the first of its vector, or what that one follows.
-    first = distinct.withColumnRenamed(id_col, "__first").join(
-        found.withColumnRenamed(id_col, "__first"), "__first", "left"
+    found = settle(
+        first_pass.unionByName(later).groupBy(id_col).agg(F.min("dup_of").alias("dup_of")), "vector-matches"
     )
-    return (
-        copies.join(first, vec_col)
-        .withColumn("dup_of", F.coalesce("dup_of", F.when(F.col(id_col) != F.col("__first"), F.col("__first"))))
-        .filter(F.col("dup_of").isNotNull())
-        .select(id_col, "dup_of")
+    # Further copies of a vector follow its first one, or what that one follows.
+    repeated = distinct.filter("n_copies > 1").select(vec_col, F.col(id_col).alias("__first"))
+    followers = (
+        copies.join(repeated, vec_col).filter(F.col(id_col) != F.col("__first")).select(id_col, "__first")
+        .join(found.select(F.col(id_col).alias("__first"), "dup_of"), "__first", "left")
+        .select(id_col, F.coalesce("dup_of", "__first").alias("dup_of"))
     )
+    return found.unionByName(followers)

@@ -120,8 +120,9 @@ def clustered(seed, n=240, dim=16, copies=80):
     return points
 
 
-@pytest.mark.parametrize("min_cos", [0.999, 0.97, 0.8, 0.2])
-@pytest.mark.parametrize("pivots, block_rows", [(None, 2000), (7, 30), (40, 10)])
+@pytest.mark.parametrize("min_cos, pivots, block_rows", [
+    (0.97, None, 2000), (0.999, 40, 10), (0.97, 7, 30), (0.97, 40, 10), (0.8, 40, 10), (0.2, 7, 30),
+])
 def test_near_duplicates_equal_brute_force(spark, min_cos, pivots, block_rows):
     points = clustered(3)
     unit = points / np.linalg.norm(points, axis=1, keepdims=True)
