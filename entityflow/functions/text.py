@@ -12,6 +12,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# What counts as a repository link, its owner/name part, and an employee figure.
 REPO_URL = r"(?U)https?://github\.com/[\w.-]+/[\w.-]+"
 REPO_PATH = r"(?U)github\.com/([\w.-]+/[\w.-]+)"
 EMPLOYEES = r"(?i)([0-9,]+)\s+employees?"

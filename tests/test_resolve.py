@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from entityflow.functions.names import normalize_name, tight_name
 from entityflow.operators import resolve as R
 from entityflow.operators.similarity import lcs_length, weighted_ratio
 
@@ -35,33 +36,22 @@ def test_golden_cascade(spark, small):
     assert got == {g[0]: g[1:] for g in GOLDEN}
 
 
-def python_cascade(raw_names, seeds, threshold=95.0):
-    """Plain reading of the rules, pair by pair."""
-    import re
-
-    def norm(name):
-        out = re.sub(r"\b(inc\.?|llc|ltd\.?|corp\.?|co\.?|gmbh|s\.a\.|plc)\b\.?", "", name.strip().lower())
-        return re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", out)).strip()
-
-    forms, tight = {}, {}
-    for s in seeds:
-        forms[norm(s)] = s
-        tight[norm(s).replace(" ", "")] = s
+def pairwise(spark, raw_names, seeds, threshold=95.0):
+    """Every name scored against every seed, no blocking: raw name -> canonical name."""
+    texts = sorted({*raw_names, *seeds})
+    rows = table(spark, texts, "t").select("t", normalize_name("t"), tight_name("t")).collect()
+    norm, tight = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}
     out = {}
     for raw in raw_names:
-        n = norm(raw)
-        if n in forms:
-            out[raw] = forms[n]
-        elif n.replace(" ", "") in tight:
-            out[raw] = tight[n.replace(" ", "")]
-        else:
-            best, score = None, -1
-            for form in forms:
-                s = weighted_ratio(n, form)
-                if s > score:
-                    best, score = form, s
-            close = min(len(n), len(best)) / max(len(n), len(best), 1) >= 0.6
-            out[raw] = forms[best] if score >= threshold and close else raw.strip()
+        exact = [s for s in seeds if norm[s] == norm[raw]] or [s for s in seeds if tight[s] == tight[raw]]
+        if exact:
+            out[raw] = exact[-1]
+            continue
+        scores = [weighted_ratio(norm[raw], norm[s]) for s in seeds]
+        form = norm[seeds[scores.index(max(scores))]]
+        a, b = sorted([len(norm[raw]), len(form)])
+        accepted = max(scores) >= threshold and b > 0 and a / b >= 0.6
+        out[raw] = [s for s in seeds if norm[s] == form][-1] if accepted else raw.strip()
     return out
 
 
@@ -97,7 +87,7 @@ LONG_SEEDS = [
 @pytest.mark.parametrize("seeds", [R.SEED_NAMES, LONG_SEEDS], ids=["default", "long"])
 def test_cascade_equals_pairwise_scoring(spark, seeds, small):
     names = random_names(random.Random(7), seeds, 400)
-    want = python_cascade(names, seeds)
+    want = pairwise(spark, names, seeds)
     rows = R.resolve(table(spark, names), R.seed_table(spark, seeds), small=small).collect()
     got = {r["raw_name"]: r["canonical_name"] for r in rows}
     assert {n: (got[n], want[n]) for n in names if got[n] != want[n]} == {}
@@ -105,7 +95,7 @@ def test_cascade_equals_pairwise_scoring(spark, seeds, small):
 
 def test_other_threshold(spark):
     names = random_names(random.Random(3), R.SEED_NAMES, 150) + ["Meta", "DeepMind", "Scale AI"]
-    want = python_cascade(names, R.SEED_NAMES, 85.0)
+    want = pairwise(spark, names, R.SEED_NAMES, 85.0)
     got = {r["raw_name"]: r["canonical_name"] for r in R.resolve(table(spark, names), threshold=85.0).collect()}
     assert got == want
 
