@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from entityflow.operators.reports import or_empty, run_summary
@@ -41,6 +43,13 @@ class RunResult:
     tabs: dict[str, str] = field(default_factory=dict)
 
 
+def side_by_side(steps: Mapping[str, Callable]) -> dict:
+    """Run independent steps at the same time, so the tail of one leaves no executor idle; results by name."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(step)) for name, step in steps.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def resolve_records(
     records: Mapping[str, DataFrame],
     seeds: DataFrame | None = None,
@@ -68,43 +77,43 @@ def run(
 ) -> RunResult:
     """Run every record plan, resolve names once, write backups, then publish the tabs.
 
-    ``builders`` maps a record type to a function giving its records. A
-    failing plan costs only its own rows. Records are written once and all
+    ``builders`` maps a record type to a function giving its records; they
+    run side by side. A failing plan costs only its own rows. Records are written once and all
     later steps read that table, so no page is extracted twice. A failure to
     publish leaves the backups in place.
     """
     root = folder.rstrip("/")
-    raw, errors = {}, {}
-    for record_type in RECORD_TYPES:
-        place = f"{root}/collected/{record_type}"
-
-        def build(record_type=record_type, place=place):
-            wanted = [f.name for f in envelope_schema(record_type).fields]
-            builders[record_type]().select(*wanted).write.mode("overwrite").parquet(place)
-            return spark.read.parquet(place)
 
-        raw[record_type], error = or_empty(spark, build, envelope_schema(record_type))
-        if error:
-            errors[record_type] = error
-
-    mapped, log = resolve_records(raw, seeds, threshold, scores)
-    records = {}
-    for record_type, df in mapped.items():
-        place = f"{root}/records/{record_type}"
+    def collect(record_type: str) -> DataFrame:
+        place = f"{root}/collected/{record_type}"
+        wanted = [f.name for f in envelope_schema(record_type).fields]
+        builders[record_type]().select(*wanted).write.mode("overwrite").parquet(place)
+        return spark.read.parquet(place)
+
+    collected = side_by_side({
+        t: lambda t=t: or_empty(spark, lambda: collect(t), envelope_schema(t)) for t in RECORD_TYPES
+    })
+    errors = {t: error for t, (_, error) in collected.items() if error}
+    mapped, log = resolve_records({t: df for t, (df, _) in collected.items()}, seeds, threshold, scores)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        place = f"{root}/records/{name}"
         df.write.mode("overwrite").parquet(place)
-        records[record_type] = spark.read.schema(envelope_schema(record_type)).parquet(place)
-    log_place = f"{root}/records/mapping_log"
-    log.write.mode("overwrite").parquet(log_place)
-    log = spark.read.parquet(log_place)
+        return spark.read.schema(df.schema).parquet(place)
+
+    stored = side_by_side({name: lambda n=name, d=df: store(n, d) for name, df in {**mapped, "mapping_log": log}.items()})
+    log = stored.pop("mapping_log")
     log_tab = mapping_log_tab(log)
 
-    result = RunResult(records, log, run_summary(records, log), errors)
-    flat = {TABS[t][2]: df for t, df in records.items()}
-    result.backups = write_backups({**flat, "entity_mapping_log": log_tab}, f"{root}/backups")
+    result = RunResult(stored, log, run_summary(stored, log), errors)
+    flat = {**{TABS[t][2]: df for t, df in stored.items()}, "entity_mapping_log": log_tab}
+    for paths in side_by_side({n: lambda n=n, d=d: write_backups({n: d}, f"{root}/backups") for n, d in flat.items()}).values():
+        result.backups.update(paths)
     if publish:
-        tabs = {TABS[t][0]: TABS[t][1](df) for t, df in records.items()}
+        tabs = {**{TABS[t][0]: TABS[t][1](df) for t, df in stored.items()}, "Entity Mapping Log": log_tab}
         try:
-            result.tabs = publish_tabs({**tabs, "Entity Mapping Log": log_tab}, folder=f"{root}/tabs")
+            for places in side_by_side({n: lambda n=n, d=d: publish_tabs({n: d}, folder=f"{root}/tabs") for n, d in tabs.items()}).values():
+                result.tabs.update(places)
         except Exception as error:  # the backups are already safe
             result.errors["publish"] = f"{type(error).__name__}: {error}"
     return result
