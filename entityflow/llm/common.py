@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = STEP_
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
         step = np.cumsum(sizes) // limit
         starts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):
@@ -43,3 +46,29 @@ def crc_mod(id_col: str | Column, modulus: int) -> Column:
 def unit_hash(column: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the value and the seed alone."""
     return (F.pmod(F.xxhash64(F.lit(seed), column), F.lit(1 << 40)) / F.lit(float(1 << 40))).cast("double")
+
+
+def per_process(key: object, make):
+    """A value that all tasks of one Python worker share, such as a loaded tokenizer."""
+    held = sys.__dict__.setdefault("_entityflow_held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def tokenizer(path: str):
+    def load():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
+    return per_process(("tokenizer", path), load)
+
+
+def text_bytes(column: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The UTF-8 bytes of a text column in one buffer, and where each text starts (and the last one ends). Null is empty."""
+    column = pc.fill_null(column.cast(pa.string()), "")
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2] or pa.py_buffer(b"")
+    return data.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]

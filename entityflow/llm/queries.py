@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import simhash
+from entityflow.llm import simhash, token_counts, token_planes
+from entityflow.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +30,22 @@ def op1_simhash(spark, sf_dir):
     """Near-duplicate classes of all documents."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+END_ID = 1
+TOKEN_LIMIT = 512
+
+
+@query
+def op6_token_planes(spark, sf_dir):
+    """Token ids of all documents, written in planes and read back."""
+    path = work_path(spark, "tokens")
+    token_planes.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, path)
+    return token_planes.read_tokens(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    """Token counts of all documents."""
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
