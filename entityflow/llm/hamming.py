@@ -237,4 +237,4 @@ def hamming_links(fingerprints: DataFrame, bits: int = 4, group_rows: int = GROU
     links = parts[0]
     for more in parts[1:]:
         links = links.union(more)
-    return links.distinct()
+    return links.where("a != b").distinct()
