@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, mixing, simhash, token_counts, token_planes
+from entityflow.llm import chat, mixing, simhash, token_counts, token_planes, toxicity
+from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,8 +85,8 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 escaped AS (
-  SELECT *, length(regexp_replace(regexp_replace(replace(role, '\', '\b'), '<(/?s>)', '\l\1', 'g'), '\[(/?INST\]|(?:IMG|AUD|DOC)\])', '\k\1', 'g'))
-          + length(regexp_replace(regexp_replace(replace(text, '\', '\b'), '<(/?s>)', '\l\1', 'g'), '\[(/?INST\]|(?:IMG|AUD|DOC)\])', '\k\1', 'g'))
+  SELECT *, length(regexp_replace(regexp_replace(replace(role, '\', '\b'), '<(/?s>)', '\\l\1', 'g'), '\[(/?INST\]|(?:IMG|AUD|DOC)\])', '\\k\1', 'g'))
+          + length(regexp_replace(regexp_replace(replace(text, '\', '\b'), '<(/?s>)', '\\l\1', 'g'), '\[(/?INST\]|(?:IMG|AUD|DOC)\])', '\\k\1', 'g'))
           + 10 + 9 + 4 AS chars FROM turns)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
@@ -93,3 +94,20 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM escaped GROUP BY conv_id"""
+
+
+TOXIC_FOLDS = 5
+
+
+def toxicity_model(docs, labels):
+    """Fitted on the labels outside the held-out fold; the language model counts all texts."""
+    return toxicity.train(docs, labels.where(crc_mod("doc_id", TOXIC_FOLDS) != 0))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return found.select(F.col("id").alias("doc_id"), (crc_mod("id", TOXIC_FOLDS) == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
