@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, mixing, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, mixing, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -96,6 +96,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id"""
 
 
+@query
+def op3_decontamination(spark, sf_dir):
+    """Benchmark items that each document contains; documents without any are left out."""
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"))
+
+
 TOXIC_FOLDS = 5
 
 
