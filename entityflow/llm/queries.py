@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, decontamination, mixing, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, inner_products, language_id, mixing, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -118,3 +118,37 @@ def op4_toxicity(spark, sf_dir):
     found = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return found.select(F.col("id").alias("doc_id"), (crc_mod("id", TOXIC_FOLDS) == 0).alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+LANGUAGE_FOLDS = 3
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    """Language of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", LANGUAGE_FOLDS) == 1
+    model = language_id.train(docs.where(~F.coalesce(held_out, F.lit(False))))
+    found = language_id.identify(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (crc_mod("id", LANGUAGE_FOLDS) == 1).alias("held_out"), "lang_pred", "score")
+
+
+QUERY_EVERY = 20
+
+
+@query
+def op9_inner_products(spark, sf_dir):
+    """Highest inner products of every twentieth vector over all others."""
+    found = inner_products.top_inner_products(table(spark, sf_dir, "embeddings"), lambda i: i % QUERY_EVERY == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLES["op9_inner_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
