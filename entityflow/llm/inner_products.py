@@ -51,14 +51,14 @@ def rotation(rows: DataFrame) -> dict[int, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), size, np.int32)), pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["size", "at", "x"])
 
     total = rows.select("v", "size").mapInArrow(run, "size int, at int, x double").groupBy("size", "at").agg(F.sum("x").alias("x"))
-    tables: dict[int, np.ndarray] = {}
+    tables: dict[int, np.ndarray] = {0: np.zeros(0)}  # empty vectors have no axes
     for r in total.collect():
         tables.setdefault(r.size, np.zeros(r.size * r.size))[r.at] = r.x
-    return {size: np.linalg.svd(np.nan_to_num(t.reshape(size, size)))[0] for size, t in tables.items()}
+    return {size: np.linalg.svd(np.nan_to_num(t.reshape(size, size)))[0] if size else t.reshape(0, 0) for size, t in tables.items()}
 
 
 def matrix(lists: pa.Array, size: int) -> np.ndarray:
-    return np.asarray(lists.flatten(), np.float64).reshape(-1, size)
+    return np.asarray(lists.flatten(), np.float64).reshape(len(lists), size)
 
 
 def whole_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:

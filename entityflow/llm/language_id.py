@@ -106,10 +106,15 @@ class Leader:
 
 
 def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log loss, by golden-section search on its logarithm."""
+    """The temperature of least log loss, by golden-section search on its logarithm.
+
+    One row's worth of doubt is spread over all classes, so that rows without an error don't ask for certainty.
+    """
+    doubt = 1 / (len(labels) + 1)
+
     def loss(t):
-        p = softmax(logits / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-300)).mean()
+        p = np.log(np.maximum(softmax(logits / np.exp(t)), 1e-300))
+        return -((1 - doubt) * p[np.arange(len(labels)), labels] + doubt * p.mean(1)).mean()
 
     low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(60):
@@ -163,7 +168,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     sample = rows.select("text", "lang", F.xxhash64("text").alias("key")).where(unit_hash(F.col("text"), 17) < rates[F.col("lang")])
     seen = settle(sample.mapInArrow(_sample_rows(idf), "key long, lang string, buckets array<int>, x array<float>"), "language-sample").toArrow()
     label = np.array([languages.index(k) for k in seen["lang"].to_pylist()], np.int64)
-    order = np.argsort(seen["key"].to_numpy(), kind="stable")
+    order = np.lexsort((label, seen["key"].to_numpy()))
     lists = [(np.asarray(a.values), np.asarray(x.values, np.float64)) for a, x in zip(seen["buckets"], seen["x"])]
     held = order[::5] if len(order) >= 50 else order
     fit = np.setdiff1d(order, held) if len(order) >= 50 else order
