@@ -170,8 +170,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     label = np.array([languages.index(k) for k in seen["lang"].to_pylist()], np.int64)
     order = np.lexsort((label, seen["key"].to_numpy()))
     lists = [(np.asarray(a.values), np.asarray(x.values, np.float64)) for a, x in zip(seen["buckets"], seen["x"])]
-    held = order[::5] if len(order) >= 50 else order
-    fit = np.setdiff1d(order, held) if len(order) >= 50 else order
+    fifth = np.arange(len(order)) % 5 == 0
+    held, fit = (order[fifth], order[~fifth]) if len(order) >= 50 else (order, order)
     leader, rng = Leader(len(languages)), np.random.default_rng(1)
     for _ in range(EPOCHS):
         for k in rng.permutation(fit):
