@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, decontamination, inner_products, language_id, mixing, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -152,3 +152,16 @@ pairs AS (
   FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+def _of_kind(kind):
+    return lambda span: span["kind"] == kind
+
+
+@query
+def op5_personal_data(spark, sf_dir):
+    """Personal data in all documents."""
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(personal_data.join_spans(F.col("base")), 256).alias("base_sha256"),
+                        personal_data.join_spans(F.col("spans")).alias("spans"))
