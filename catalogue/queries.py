@@ -752,9 +752,16 @@ def near_duplicates(spark, sf):
 # --- whole plans ---------------------------------------------------------------------------------
 
 
-@query
-def full_run(spark, sf):
-    """Pages and feeds to records, names resolved, backups and tabs written; rows per published tab."""
+# What names a record of each type, besides the resolved company name.
+RECORD_KEYS = {STARTUP: "source.url", PRODUCT: "source.url", RESEARCH_PAPER: "content.paper_url", JOB: "content.role_family", NEWS: "content.url"}
+
+
+def digest(key) -> F.Column:
+    """Order-free digest of a text column: the sum of the first 32 bits of the rows' MD5."""
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")), F.lit(0)).cast("bigint")
+
+
+def whole_run(spark, sf, target=None):
     fx_pages, fx_companies = card_pages_raw(spark, sf), company_pages(spark, sf)
     config = sites.site_config(spark)
     stars = view(spark, sf, "fx_stars")
@@ -762,15 +769,31 @@ def full_run(spark, sf):
     result = run.run(
         spark,
         {
-            STARTUP: lambda: records.startups(company_html, config, NOW),
-            PRODUCT: lambda: records.products(fx_pages, config, NOW),
-            RESEARCH_PAPER: lambda: records.papers(raw_papers(spark, sf), stars, NOW),
+            STARTUP: lambda: records.startups(company_html, config, NOW, target),
+            PRODUCT: lambda: records.products(fx_pages, config, NOW, target),
+            RESEARCH_PAPER: lambda: records.papers(raw_papers(spark, sf), stars, NOW, target),
             JOB: lambda: records.jobs(fx_pages, config, NOW, NOW),
             NEWS: lambda: records.news(fx_pages, config, NOW, NOW),
         },
         work_path(spark, "run"),
     )
-    return result.summary
+    if result.errors:
+        raise RuntimeError(f"record plans failed: {result.errors}")
+    parts = [df.agg(F.lit(t).alias("record_type"), digest(F.col(RECORD_KEYS[t])).alias("content_digest")) for t, df in result.records.items()]
+    parts.append(result.log.agg(F.lit("MAPPING_LOG").alias("record_type"), F.lit(0).cast("bigint").alias("content_digest")))
+    return result.summary.join(reports.union_sources(parts), "record_type")
+
+
+@query
+def full_run(spark, sf):
+    """Pages and feeds to records, names resolved, backups and tabs written; rows and content digest per record type."""
+    return whole_run(spark, sf)
+
+
+@query
+def full_run_with_target(spark, sf):
+    """The same, with each directory and feed read until 1,000 unique rows are met."""
+    return whole_run(spark, sf, DEFAULT_TARGET)
 
 
 def card_pages_raw(spark, sf):

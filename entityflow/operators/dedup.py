@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityflow.schemas import DEFAULT_TARGET, PAGE_CAP, PAGE_SIZE
-from entityflow.session import work_path
+from entityflow.schemas import PAGE_CAP, PAGE_SIZE
+from entityflow.session import settle, work_path
 
 FIRST_SEEN_ORDER = ("source_rank", "page_no", "row_id")
+WINDOW_FAN = 32
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str] = FIRST_SEEN_ORDER) -> DataFrame:
@@ -37,18 +38,17 @@ def contiguous_pages(df: DataFrame, source: str = "source_rank", page: str = "pa
 def target_grains(
     df: DataFrame,
     key: str,
-    target: int | None = DEFAULT_TARGET,
+    target: int | None = None,
     source: str = "source_rank",
     page: str | None = "page_no",
 ) -> DataFrame:
-    """Grains (pages, or whole sources) read before the unique-row target is met.
+    """Grains (pages, or whole sources) read before the unique-row target is met; all grains without a target (None or 0).
 
     A grain is kept while the count of unique keys first seen in earlier
     grains is below the target, so the last kept grain may overshoot it. Only
     the key and the grain (non-negative integers) are read; the cumulative
     sum runs per source, and across sources on one row each.
     """
-    target = target or DEFAULT_TARGET
     grain = [source] if page is None else [source, page]
     # Source rank and page number in one long: its minimum is a plain hash aggregate.
     packed = F.shiftleft(F.col(source).cast("bigint"), 32) + (F.lit(0) if page is None else F.col(page))
@@ -69,7 +69,7 @@ def target_grains(
         within = F.coalesce(F.sum("new_rows").over(before_page), F.lit(0))
         grains = grains.withColumn("__before", F.col("__before") + within)
     return (
-        grains.filter(F.col("__before") < target)
+        (grains.filter(F.col("__before") < target) if target else grains)
         .withColumn("running_total", F.col("__before") + F.col("new_rows"))
         .select(*grain, "new_rows", "running_total")
     )
@@ -78,16 +78,18 @@ def target_grains(
 def take_until(
     df: DataFrame,
     key: str,
-    target: int | None = DEFAULT_TARGET,
+    target: int | None = None,
     source: str = "source_rank",
     page: str | None = "page_no",
     order: Sequence[str] = FIRST_SEEN_ORDER,
 ) -> DataFrame:
-    """First-seen rows of the grains read until the target is met.
+    """First-seen rows of the grains read until the target is met; of all grains without a target (None or 0).
 
     The kept grains are a prefix of the reading order, so the input is cut to
     them first and only that prefix is deduplicated.
     """
+    if not target:
+        return first_seen(df, key, order)
     grain = [source] if page is None else [source, page]
     kept = target_grains(df, key, target, source, page).select(*grain)
     return first_seen(df.join(kept, grain, "left_semi"), key, order)
@@ -98,36 +100,55 @@ def page_window(
     category: str = "category",
     order: Sequence[Column] | None = None,
     page_size: int = PAGE_SIZE,
-    cap: int = PAGE_CAP,
+    cap: int | None = PAGE_CAP,
     salt_by: str = "paper_url",
     salts: int | None = None,
 ) -> DataFrame:
-    """Newest-first pages per category: rows beyond ``cap`` are outside the feed; adds ``page_no``.
+    """Newest-first pages per category; adds ``page_no`` and ``feed_rank``. Rows beyond ``cap`` are outside the feed; None keeps all.
 
-    There are only a few categories, so ranking straight by category would put
-    a whole category in one task. Rows are first ranked within (category,
-    salt); no more than ``cap`` rows of each survive, and those few are ranked
-    again by category. The result is the same.
+    There are only a few categories, so ranking straight by category would put a whole category in one task. With a cap,
+    rows are ranked within (category, salt) and no more than ``cap`` of each survive; WINDOW_FAN salts then merge into one, until
+    one is left, so no task ever ranks more than WINDOW_FAN * cap rows besides its first share. Without one, rows are
+    sorted across tasks and each adds the rows of its category in the tasks before it.
     """
     order = order or [F.col("published").desc_nulls_last(), F.col("paper_url")]
-    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-    local = Window.partitionBy(category, "__salt").orderBy(*order)
-    survivors = spread.withColumn("__rn", F.row_number().over(local)).filter(F.col("__rn") <= cap).drop("__salt", "__rn")
-    overall = Window.partitionBy(category).orderBy(*order)
-    ranked = survivors.withColumn("__rn", F.row_number().over(overall)).filter(F.col("__rn") <= cap)
+    if cap is None:
+        ranked = _ranked_across_tasks(df, category, order)
+    else:
+        salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranked = df.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+        while True:
+            local = Window.partitionBy(category, "__salt").orderBy(*order)
+            ranked = ranked.withColumn("__rn", F.row_number().over(local)).filter(F.col("__rn") <= cap)
+            if salts == 1:
+                break
+            salts = -(-salts // WINDOW_FAN)
+            ranked = ranked.withColumn("__salt", F.pmod("__salt", F.lit(salts))).drop("__rn")
+        ranked = ranked.drop("__salt")
     return ranked.withColumn("page_no", F.floor((F.col("__rn") - 1) / page_size).cast("int")).withColumnRenamed(
         "__rn", "feed_rank"
     )
 
 
+def _ranked_across_tasks(df: DataFrame, category: str, order: Sequence[Column]) -> DataFrame:
+    """Adds ``__rn``, the rank within the category. The sorted rows are written once, as their split must not change."""
+    placed = settle(df.repartitionByRange(F.col(category), *order).withColumn("__part", F.spark_partition_id()), "ranked-rows")
+    sizes = placed.groupBy(category, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(category).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    sizes = sizes.select(F.col(category).alias("__category"), F.col("__part").alias("__in"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    local = Window.partitionBy(category, "__part").orderBy(*order)
+    ranked = placed.withColumn("__rn", F.row_number().over(local))
+    ranked = ranked.join(sizes, F.col(category).eqNullSafe(F.col("__category")) & (F.col("__part") == F.col("__in")))
+    return ranked.withColumn("__rn", (F.col("__rn") + F.col("__before")).cast("int")).drop("__part", "__category", "__in", "__before")
+
+
 def unseen(new: DataFrame, seen: DataFrame, key: str = "url_key") -> DataFrame:
     """Rows whose key is not in the seen table.
 
     No hand-made Bloom filter: the anti join is exact, and the optimizer
     broadcasts the seen keys when they are measured to be small.
     """
-    return new.join(seen.select(key).distinct(), key, "left_anti")
+    return new.join(seen.select(key), key, "left_anti")
 
 
 # --- exact time-to-live dedup ---------------------------------------------------

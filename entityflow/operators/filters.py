@@ -51,6 +51,13 @@ def unmatched(mapping_log: DataFrame) -> DataFrame:
     return mapping_log.filter(~F.col("matched_seed"))
 
 
-def under_size_cap(pages: DataFrame, body: str, max_bytes: int) -> DataFrame:
-    """Bodies at most ``max_bytes`` long; runs before any Python stage."""
-    return pages.filter(F.octet_length(body) <= max_bytes)
+def under_size_cap(pages: DataFrame, body: str, max_bytes: int | None = None) -> DataFrame:
+    """Bodies at most ``max_bytes`` long; runs before any Python stage. None keeps all."""
+    return pages if max_bytes is None else pages.filter(F.octet_length(body) <= max_bytes)
+
+
+def rejected_bodies(pages: DataFrame, body: str, max_bytes: int | None = None, keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
+    """What ``under_size_cap`` leaves out: the ``keep`` columns, bytes and reason."""
+    size = F.octet_length(body)
+    reason = F.when(size.isNull(), "no body").when(size > max_bytes if max_bytes is not None else F.lit(False), "over the size cap")
+    return pages.select(*keep, size.alias("bytes"), reason.alias("reason")).filter(F.col("reason").isNotNull())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,9 @@ SMALL_DICTIONARY = 100
 
 def seed_table(spark: SparkSession, seeds: Sequence[str] | None = None) -> DataFrame:
     """(seed_rank, seed); an empty list means the default names."""
-    return spark.createDataFrame(list(enumerate(seeds or SEED_NAMES)), "seed_rank int, seed string")
+    names = list(seeds or SEED_NAMES)
+    # An Arrow table becomes a local relation, whose true size decides how it is joined.
+    return spark.createDataFrame(pa.table({"seed_rank": pa.array(range(len(names)), pa.int32()), "seed": pa.array(names, pa.string())}))
 
 
 def _seed_index(seeds: DataFrame, form: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from entityflow.operators.reports import or_empty, run_summary
 from entityflow.operators.resolve import DEFAULT_THRESHOLD, apply_mapping, mapping_log, occurrences, resolve
 from entityflow.schemas import JOB, NAME_FIELD, NEWS, PRODUCT, RECORD_TYPES, RESEARCH_PAPER, STARTUP, envelope_schema
-from entityflow.session import settle
+from entityflow.session import path_exists, settle
 from entityflow.sinks.tabs import (
     jobs_tab,
     mapping_log_tab,
@@ -73,14 +73,15 @@ def run(
     seeds: DataFrame | None = None,
     threshold: float = DEFAULT_THRESHOLD,
     publish: bool = True,
-    scores: bool = True,
+    scores: bool = False,
 ) -> RunResult:
     """Run every record plan, resolve names once, write backups, then publish the tabs.
 
     ``builders`` maps a record type to a function giving its records; they
-    run side by side. A failing plan costs only its own rows. Records are written once and all
-    later steps read that table, so no page is extracted twice. A failure to
-    publish leaves the backups in place.
+    run side by side. A failing plan costs only its own rows: what an earlier run stored, backed up and published of that
+    type is left as it is, and ``errors`` says why. Records are written once and all later steps read that table, so no page
+    is extracted twice. A failure to publish leaves the backups in place. ``scores`` adds the best score of unmatched names
+    to the log, at the price of scoring them.
     """
     root = folder.rstrip("/")
 
@@ -101,16 +102,20 @@ def run(
         df.write.mode("overwrite").parquet(place)
         return spark.read.schema(df.schema).parquet(place)
 
-    stored = side_by_side({name: lambda n=name, d=df: store(n, d) for name, df in {**mapped, "mapping_log": log}.items()})
+    done = {t: df for t, df in mapped.items() if t not in errors}
+    stored = side_by_side({name: lambda n=name, d=df: store(n, d) for name, df in {**done, "mapping_log": log}.items()})
     log = stored.pop("mapping_log")
+    stored = {t: stored[t] if t in stored else df for t, df in mapped.items()}
     log_tab = mapping_log_tab(log)
 
     result = RunResult(stored, log, run_summary(stored, log), errors)
-    flat = {**{TABS[t][2]: df for t, df in stored.items()}, "entity_mapping_log": log_tab}
+    # A failed type gets empty output only where there was none before.
+    sound = {t: df for t, df in stored.items() if t not in errors or not path_exists(spark, f"{root}/backups/{TABS[t][2]}")}
+    flat = {**{TABS[t][2]: df for t, df in sound.items()}, "entity_mapping_log": log_tab}
     for paths in side_by_side({n: lambda n=n, d=d: write_backups({n: d}, f"{root}/backups") for n, d in flat.items()}).values():
         result.backups.update(paths)
     if publish:
-        tabs = {**{TABS[t][0]: TABS[t][1](df) for t, df in stored.items()}, "Entity Mapping Log": log_tab}
+        tabs = {**{TABS[t][0]: TABS[t][1](df) for t, df in sound.items()}, "Entity Mapping Log": log_tab}
         try:
             for places in side_by_side({n: lambda n=n, d=d: publish_tabs({n: d}, folder=f"{root}/tabs") for n, d in tabs.items()}).values():
                 result.tabs.update(places)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +27,23 @@ RUNTIME_CONF = {
 }
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that its Arrow functions run where it isn't installed."""
+    context = spark.sparkContext
+    if getattr(context, "_entityflow_shipped", False):
+        return
+    root = Path(__file__).parent
+    place = Path(tempfile.mkdtemp(prefix="entityflow-code-")) / "entityflow.zip"
+    with zipfile.ZipFile(place, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(place))
+    context._entityflow_shipped = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session and send it the package."""
+    ship(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -70,6 +87,12 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/entityflow/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in whatever store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a result once to the shared folder and continue from the written table.
 

@@ -36,6 +36,8 @@ COMPANY_TAGS = ["artificial-intelligence", "generative-ai", "machine-learning",
 PRODUCT_CARD = ("div.bg-card", "p", r"^https://www\.futurepedia\.io/tool/[\w-]+", "div.flex.justify-between.text-lg > span")
 COMPANY_CARD = ("a[href^='/companies/']:has(> li)", ".text-2xl", "span.text-gray-700")
 
+SITE_ROWS = 1_000
+
 SITE_SCHEMA = (
     "kind string, source_rank int, name string, url string, "
     "card_selector string, title_selector string, link_selector string, time_selector string, extractor string"
@@ -67,15 +69,30 @@ def host_of(url) -> Column:
 def pages_for_site(pages: DataFrame, sites: DataFrame, url: str = "url") -> DataFrame:
     """Attach the site row to every page of a site; pages of other hosts drop.
 
-    News and job sites own their host. Directory categories and tags share
-    one, so their pages must also lie below the category's address. The site
-    table holds a few dozen rows; the join strategy follows its known size.
+    News and job sites own their host. Directory categories and tags share one, so their pages must also lie below the
+    category's address. Up to SITE_ROWS sites, checked, become a literal map from host to site rows, so page bodies stay where they
+    are: no shuffle and no broadcast, whatever the settings. A longer list is joined on the host.
     """
     side = sites.filter(F.col("kind") != "paper").select(
         host_of(F.col("url")).alias("__host"), "kind", "source_rank", F.col("name").alias("site_name"),
         F.col("url").alias("site_url"), "card_selector", "title_selector", "link_selector", "time_selector", "extractor",
     )
-    tail = F.substring(F.col(url), F.length("site_url") + 1, F.lit(1))
-    below = F.col(url).startswith(F.col("site_url")) & tail.isin("", "/", "?", "#")
-    joined = pages.withColumn("__host", host_of(F.col(url))).join(side, "__host").drop("__host")
-    return joined.filter(~F.col("kind").isin("product", "company") | below)
+
+    def belongs(site_url, kind):
+        tail = F.substring(F.col(url), F.length(site_url) + 1, F.lit(1))
+        return ~kind.isin("product", "company") | (F.col(url).startswith(site_url) & tail.isin("", "/", "?", "#"))
+
+    rows = side.limit(SITE_ROWS + 1).collect()
+    if len(rows) > SITE_ROWS:
+        joined = pages.withColumn("__host", host_of(F.col(url))).join(side, "__host").drop("__host")
+        return joined.filter(belongs(F.col("site_url"), F.col("kind")))
+    fields = side.schema.fields[1:]
+    by_host: dict[str, list[Column]] = {}
+    for row in rows:
+        site = F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+        by_host.setdefault(row["__host"], []).append(site)
+    if not by_host:
+        return pages.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).filter(F.lit(False))
+    known = F.create_map(*[x for host, found in by_host.items() for x in (F.lit(host), F.array(*found))])
+    mine = F.filter(known[host_of(F.col(url))], lambda site: belongs(site["site_url"], site["kind"]))
+    return pages.select("*", F.explode(mine).alias("__site")).select(*pages.columns, "__site.*")

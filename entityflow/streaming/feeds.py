@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from entityflow.functions.times import as_instant, fresh_range
 from entityflow.operators.dedup import unseen
 from entityflow.schemas import FRESHNESS_HOURS
+from entityflow.session import path_exists
 
 
 def fresh_stream(stream: DataFrame, ts: str = "ts", hours: int | None = FRESHNESS_HOURS, now=None) -> DataFrame:
@@ -94,24 +95,21 @@ def unseen_stream(
 ) -> StreamingQuery:
     """Start a query that writes rows with an unseen key to ``sink`` and adds the keys to ``seen``.
 
-    Each micro-batch writes its own ``batch`` folder of both tables, and reads
-    only the folders of earlier batches. A batch repeated after a failure
-    replaces its own output and gives the same result.
+    Each micro-batch writes its own ``batch`` folder of both tables, and reads only the folders of earlier batches, of
+    those only the hash slots that its keys fall in. A batch repeated after a failure replaces its own output and gives the
+    same result. A missing ``seen`` table means that nothing was seen; a table that can't be read is an error.
     """
-    from pyspark.errors import AnalysisException
-
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            known = spark.read.parquet(seen).filter(F.col("batch") < batch_id)
-        except AnalysisException:  # nothing seen yet
-            known = None
+        rows = batch
+        if path_exists(spark, seen):
+            known = spark.read.parquet(seen).filter((F.col("batch") < batch_id) & F.col(SLOT).isin(_slots(batch, key)))
+            rows = unseen(batch, known, key)
         # One row per key within the batch, the smallest in column order, so a rerun picks the same.
-        first = batch.groupBy(key).agg(F.min(F.struct(*[c for c in batch.columns if c != key])).alias("r")).select(key, "r.*")
-        new = unseen(first, known, key) if known is not None else first
+        new = rows.groupBy(key).agg(F.min(F.struct(*[c for c in batch.columns if c != key])).alias("r")).select(key, "r.*")
         new.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        written = spark.read.parquet(f"{sink}/batch={batch_id}")
-        written.select(key).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        written = spark.read.parquet(f"{sink}/batch={batch_id}").select(key, _slot(key).alias(SLOT))
+        written.repartition(SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(f"{seen}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -119,6 +117,18 @@ def unseen_stream(
     )
 
 
+SLOT = "slot"
+SEEN_SLOTS = 64
+
+
+def _slot(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(SEEN_SLOTS)).cast("int")
+
+
+def _slots(keys: DataFrame, key: str) -> list[int]:
+    return [r[0] for r in keys.select(_slot(key)).distinct().collect()]  # at most SEEN_SLOTS numbers
+
+
 def run_to_table(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet table until the available input is used up."""
     return (

@@ -151,3 +151,27 @@ def test_reports(spark):
     assert [(r["record_type"], r["target"], r["met"]) for r in reports.target_check(summary).collect()] == [("STARTUP", 1000, False)]
     empty, error = reports.or_empty(spark, lambda: 1 / 0, a.schema)
     assert empty.count() == 0 and error.startswith("ZeroDivisionError")
+
+
+def test_no_target_keeps_everything(spark):
+    rows = random_rows(2)
+    df = rows_df(spark, rows)
+    for none in (None, 0):
+        assert dedup.take_until(df, "k", none).count() == len({r[3] for r in rows})
+        assert dedup.target_grains(df, "k", none).count() == len({r[:2] for r in rows})
+    many = spark.range(3000).selectExpr("cast(id % 3 as int) AS source_rank", "cast(id div 100 as int) AS page_no", "id AS row_id", "cast(id as string) AS k")
+    assert dedup.take_until(many, "k").count() == 3000
+
+
+@pytest.mark.parametrize("salts", [1, 7, 100])
+def test_page_window_levels_and_uncut(spark, salts):
+    rows = [(i % 2, f"u{i:04}", i % 50) for i in range(900)]
+    df = spark.createDataFrame(rows, "category int, paper_url string, published int")
+    want = {}
+    for c in (0, 1):
+        for n, r in enumerate(sorted((r for r in rows if r[0] == c), key=lambda r: (-r[2], r[1]))):
+            want[r[1]] = (n + 1, n // 100)
+    cut = dedup.page_window(df, cap=120, salts=salts)
+    assert {r.paper_url: (r.feed_rank, r.page_no) for r in cut.collect()} == {k: v for k, v in want.items() if v[0] <= 120}
+    whole = dedup.page_window(df, cap=None)
+    assert {r.paper_url: (r.feed_rank, r.page_no) for r in whole.collect()} == want

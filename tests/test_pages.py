@@ -154,3 +154,50 @@ def test_stars(spark, tmp_path):
     by_slug = {r["paper_url"]: r["github_stars"] for r in enrich_stars(df, read, key="slug").collect()}
     assert by_slug == {"p1": 5, "p2": 5, "p3": None, "p4": 0, "p5": None, "p6": 5}
     assert {r["slug"] for r in distinct_slugs(df).collect()} == {"o/r", "o/none", "o/missing"}
+
+
+def test_bodies_stay_where_they_are(spark, tmp_path, capsys):
+    """At any broadcast threshold, site rows reach the pages without a shuffle or broadcast."""
+    place = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "https://venturebeat.com/category/ai/", "<p>x</p>")], "page_id bigint, url string, html string").write.parquet(place)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            joined = sites.pages_for_site(spark.read.parquet(place), sites.site_config(spark))
+            joined.explain()
+            plan = capsys.readouterr().out
+            assert "Exchange" not in plan and "Join" not in plan
+            assert [r.site_name for r in joined.collect()] == ["VentureBeat AI"]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_long_site_lists_are_joined(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "https://venturebeat.com/x"), (2, "https://www.futurepedia.io/ai-tools/marketing?page=2"), (3, "https://nowhere.example")], "page_id bigint, url string")
+    config = sites.site_config(spark)
+    want = sorted(map(tuple, sites.pages_for_site(pages, config).collect()))
+    monkeypatch.setattr(sites, "SITE_ROWS", 3)
+    assert sorted(map(tuple, sites.pages_for_site(pages, config).collect())) == want and len(want) == 2
+
+
+def test_runs_from_another_folder(tmp_path):
+    """Arrow functions find the package although the workers start elsewhere."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from entityflow.session import build_session
+from entityflow.operators.chunks import chunk_text
+from entityflow.sources import cards, sites
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false"}})
+pages = spark.createDataFrame([(1, "https://www.ycombinator.com/companies/industry/nlp", "<a href='/companies/c'><li><b class='text-2xl'>Zed</b></li></a>")], "page_id bigint, url string, html string")
+print("FOUND", cards.extract_company_cards(sites.pages_for_site(pages, sites.site_config(spark))).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "FOUND 1" in out.stdout, out.stderr[-2000:]

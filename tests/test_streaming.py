@@ -1,3 +1,4 @@
+import pytest
 import random
 from datetime import datetime, timedelta
 
@@ -82,3 +83,27 @@ def test_state_column_types(spark, tmp_path):
     arriving = spark.readStream.schema(numeric.schema).parquet(str(tmp_path / "in"))
     got = drain(spark, feeds.ttl_dedup_stream(arriving, "k"), tmp_path, "n")
     assert [tuple(r) for r in got.select("k", F.col("ts")).collect()] == [(7, START)]
+
+
+def test_unseen_stream_over_batches_and_broken_table(spark, tmp_path):
+    from entityflow.streaming import feeds
+
+    source = str(tmp_path / "in")
+    schema = "url_key string, body string"
+    want = {}
+    for n in range(3):
+        rows = [(f"k{i}", f"b{n}-{i}") for i in range(n * 5, n * 5 + 10)] + [(f"k{n}", "again")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source)
+        feeds.unseen_stream(stream, str(tmp_path / "out"), str(tmp_path / "seen"), str(tmp_path / "check")).awaitTermination()
+        for k, _ in rows:
+            want.setdefault(k, n)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r.url_key: r.batch for r in got} == want and len(got) == len(want)
+
+    broken = tmp_path / "broken" / "batch=0"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    query = feeds.unseen_stream(spark.readStream.schema(schema).json(source), str(tmp_path / "out2"), str(tmp_path / "broken"), str(tmp_path / "check2"))
+    with pytest.raises(Exception):
+        query.awaitTermination()
