@@ -39,6 +39,26 @@ FROM events JOIN (VALUES (0,'',' seconds ago'),(1,'',' minutes ago'),(2,'',' hou
  (9,' Moments ago ',''),(10,'Yesterday',''),(11,'2024-01-30T10:00:00Z',''),(12,'2024-01-30T10:00:00+02:00',''),
  (13,'2024-01-31',''),(14,'an hour ago',''),(15,'',''),(16,'2024-01-31T00:05:00Z',''),
  (17,'2024-01-31T00:05:01Z',''),(18,'99999999999999999999 years ago','')) AS v(i, prefix, unit) ON event_id % 19 = v.i
+""",
+    "fx_clock_times": r"""
+SELECT event_id, v.raw_time, v.expected
+FROM events JOIN (VALUES (0,'Sep 9, 2026 10:30 AM','2026-09-09 10:30:00'),(1,'Thu, 10 Sep 2026 10:00:00 GMT','2026-09-10 10:00:00'),
+ (2,'2026-09-12 08:00 UTC','2026-09-12 08:00:00'),(3,'September 9, 2026 at 10:30','2026-09-09 10:30:00'),(4,'12 Sep 2026 08:00','2026-09-12 08:00:00'),
+ (5,'Updated Sep 9, 2026','2026-09-09 00:00:00'),(6,'Posted on: Jan 30, 2024, 11:59 pm','2024-01-30 23:59:00'),(7,'Jan 30, 2024 12:05 AM','2024-01-30 00:05:00'),
+ (8,'30 Jan 2024 10:00:05 +0530','2024-01-30 04:30:05'),(9,'2024/01/30 23:30 -02:00','2024-01-31 01:30:00'),(10,'Jan 30, 2024 25:00',CAST(NULL AS STRING)),
+ (11,'Jan 30, 2024 13:00 pm',CAST(NULL AS STRING)),(12,'at 10:30',CAST(NULL AS STRING)),(13,'Tue Jan 30 2024 9:05 a.m.','2024-01-30 09:05:00')) AS v(i, raw_time, expected)
+ ON event_id % 14 = v.i
+""",
+    "fx_wild_pages": r"""
+SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 0 THEN 'list' WHEN 1 THEN 'deep' WHEN 2 THEN 'rows' ELSE 'broken' END AS kind,
+ CASE c_custkey % 4
+ WHEN 0 THEN '<ul><li class=feature><a href=/1>A</a><li class=feature><a href=/' || CAST(c_custkey AS STRING) || '>B<p>more</a><time datetime="2024-01-30T10:00:00Z">x</time></ul>'
+ WHEN 1 THEN '<article><a href="/d">' || repeat('<i><b>', 2000) || 'Deep</a><time datetime="2024-01-30T10:00:00Z">x</time></article>'
+ WHEN 2 THEN '<table><tr class=' || chr(39) || 'x job' || chr(39) || ' data-id=1 data-href=' || chr(39) || '/j/' || CAST(c_custkey AS STRING) || chr(39)
+  || ' data-company="L&#x27;Or &amp;amp; Co"><td><script type="application/ld+json">{"title":"AI Engineer","datePosted":"2024-01-30T10:00:00Z"}</script>'
+  || '<tr class=job data-id=2 data-href=/k><td>no record</table>'
+ ELSE '<article>x<time></time></article>' END AS html
+FROM customer
 """,
     "fx_startups": r"""
 SELECT c_custkey AS row_id, CAST(c_custkey % 5 AS INT) AS source_rank, CAST(c_custkey % 7 AS INT) AS page_no,

@@ -584,3 +584,24 @@ UNION ALL SELECT 'MAPPING_LOG', (SELECT count(*) FROM rs) + (SELECT count(*) FRO
 
 ORACLES["full_run"] = _run_oracle("{0} >= 0")
 ORACLES["full_run_with_target"] = _run_oracle("{0} < 1000")
+
+# --- wild inputs ---------------------------------------------------------------------------------------------------------------
+
+ORACLES["parse_clock_times"] = with_views(
+    """SELECT event_id, expected AS parsed, coalesce(CAST(expected AS TIMESTAMP) BETWEEN TIMESTAMP '2024-01-30 00:00:00' AND TIMESTAMP '2024-01-31 00:05:00', false) AS fresh
+FROM fx_clock_times""", "fx_clock_times",
+)
+ORACLES["wild_cards"] = with_views(
+    """SELECT page_id, CAST(CASE kind WHEN 'list' THEN 0 ELSE 0 END AS INT) AS card_no, CASE kind WHEN 'list' THEN 'Bmore' ELSE 'Deep' END AS title,
+ CASE kind WHEN 'list' THEN 'https://weworkremotely.com/' || page_id ELSE 'https://venturebeat.com/d' END AS url, '2024-01-30 10:00:00' AS published_at
+FROM fx_wild_pages WHERE kind IN ('list', 'deep')""", "fx_wild_pages",
+)
+ORACLES["wild_job_rows"] = with_views(
+    """SELECT page_id, CAST(0 AS INT) AS row_no, 'AI Engineer' AS title, 'https://remoteok.com/j/' || page_id AS url, 'L''Or &amp; Co' AS company
+FROM fx_wild_pages WHERE kind = 'rows'""", "fx_wild_pages",
+)
+ORACLES["page_failures"] = with_views(
+    """SELECT page_id, 'https://venturebeat.com/category/ai/' AS url, 'ValueError: unreadable' AS failure
+FROM fx_wild_pages WHERE kind = 'broken'""", "fx_wild_pages",
+)
+ORACLES["rejected_bodies"] = """SELECT page_id, url, CAST(strlen(html) AS INT) AS bytes, 'over the size cap' AS reason FROM pages WHERE strlen(html) > 1500"""

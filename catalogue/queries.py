@@ -196,6 +196,13 @@ def parse_times(spark, sf):
     )
 
 
+@query
+def parse_clock_times(spark, sf):
+    """Dates with clock times, offsets and leading words."""
+    fx = view(spark, sf, "fx_clock_times").withColumn("at", times.parse_time("raw_time", NOW))
+    return fx.select("event_id", as_time("at").alias("parsed"), times.is_fresh("at", NOW).alias("fresh"))
+
+
 @query
 def parse_iso_dates(spark, sf):
     return view(spark, sf, "fx_papers").select("row_id", as_time(times.parse_iso("published")).alias("published"))
@@ -547,6 +554,48 @@ def job_postings(spark, sf):
     return got.select("page_id", "row_no", "title", "url", "company", as_time("published_at").alias("published_at"))
 
 
+def wild_pages(spark, sf):
+    """Pages with unclosed elements, deep nesting and every way of quoting, placed on job sites."""
+    jobs = sites.JOB_SITES
+    address = F.when(F.col("kind") == "rows", jobs[4][1]).when(F.col("kind") == "list", jobs[2][1]).otherwise(sites.NEWS_SITES[0][1])
+    fx = view(spark, sf, "fx_wild_pages").select("page_id", F.col("kind").alias("page_kind"), address.alias("url"), "html")
+    pages = sites.pages_for_site(fx, sites.site_config(spark))
+    # The news site's links are in headings; these pages have plain ones.
+    plain = F.col("page_kind").isin("deep", "broken")
+    return pages.withColumn("title_selector", F.when(plain, "a").otherwise(F.col("title_selector"))).withColumn(
+        "link_selector", F.when(plain, "a").otherwise(F.col("link_selector")))
+
+
+@query
+def wild_cards(spark, sf):
+    """Cards as a browser sees them: an unclosed item ends at the next one, so no card takes another one's time."""
+    got = cards.extract_cards(wild_pages(spark, sf), NOW)
+    return got.select("page_id", "card_no", "title", "url", as_time("published_at").alias("published_at"))
+
+
+@query
+def wild_job_rows(spark, sf):
+    got = cards.extract_job_postings(wild_pages(spark, sf), NOW)
+    return got.select("page_id", "row_no", "title", "url", "company")
+
+
+def failing(html, row):
+    raise ValueError("unreadable")
+
+
+@query
+def page_failures(spark, sf):
+    """Pages whose reading fails come out as rows with the reason."""
+    pages = wild_pages(spark, sf).withColumn("extractor", F.when(F.col("page_kind") == "broken", "failing").otherwise(F.col("extractor")))
+    return cards.page_failures(pages, extractors={"failing": failing})
+
+
+@query
+def rejected_bodies(spark, sf):
+    """Page bodies over a size cap, with their size and the reason."""
+    return filters.rejected_bodies(table(spark, sf, "pages"), "html", 1_500)
+
+
 def company_pages(spark, sf):
     """One directory page per start-up row, its name escaped into the markup."""
     name = F.replace(F.replace(F.col("name"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))

@@ -64,12 +64,43 @@ def repo_slug(value) -> Column:
     return empty_to_null(F.regexp_replace(F.regexp_extract(as_col(value), REPO_PATH, 1), r"\.git$", ""))
 
 
+# The named character references that occur in attributes.
+NAMED = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae", "trade": "\u2122",
+    "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
+    "laquo": "\u00ab", "raquo": "\u00bb", "bull": "\u2022", "middot": "\u00b7", "deg": "\u00b0", "euro": "\u20ac", "pound": "\u00a3",
+    "yen": "\u00a5", "cent": "\u00a2", "sect": "\u00a7", "times": "\u00d7", "szlig": "\u00df", "auml": "\u00e4", "ouml": "\u00f6", "uuml": "\u00fc",
+    "Auml": "\u00c4", "Ouml": "\u00d6", "Uuml": "\u00dc", "agrave": "\u00e0", "aacute": "\u00e1", "acirc": "\u00e2", "aring": "\u00e5",
+    "aelig": "\u00e6", "ccedil": "\u00e7", "egrave": "\u00e8", "eacute": "\u00e9", "ecirc": "\u00ea", "euml": "\u00eb", "iacute": "\u00ed",
+    "ntilde": "\u00f1", "oacute": "\u00f3", "ocirc": "\u00f4", "oslash": "\u00f8", "uacute": "\u00fa", "ucirc": "\u00fb",
+}
+
+
+def _character(code: Column) -> Column:
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def _reference(part: Column) -> Column:
+    """What follows an ampersand, with the reference it starts with, if any, replaced."""
+    name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+    known = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])[name]
+    whole = r"^#(?:[xX][0-9a-fA-F]{1,7}|[0-9]{1,8});?"
+    decimal = F.regexp_extract(part, r"^#([0-9]{1,8})", 1).try_cast("bigint")
+    hexadecimal = F.conv(F.nullif(F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,7})", 1), F.lit("")), 16, 10).try_cast("bigint")
+    return (
+        F.when(part.rlike(whole), F.concat(_character(F.coalesce(hexadecimal, decimal)), F.regexp_replace(part, whole, "")))
+        .when(known.isNotNull(), F.concat(known, F.substring(part, F.length(name) + 2, F.length(part))))
+        .otherwise(F.concat(F.lit("&"), part))
+    )
+
+
 def unescape_entities(value) -> Column:
-    """The five predefined character references (ampersand last, so it is undone once)."""
-    out = as_col(value)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Numeric and common named character references, each undone once."""
+    text = as_col(value)
+    parts = F.split(text, "&", -1)
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), _reference)
+    return F.when(text.contains("&"), F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
 
 
 def build_prompt(chunk, schema_json: str) -> Column:

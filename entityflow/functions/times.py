@@ -42,6 +42,12 @@ MONTH_DATE = (
     r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
     r"(?:uary|ruary|ch|il|e|y|ust|t|tember|ober|ember)?\.?(?: ([0-9]{1,2}))?(?:,? ([0-9]{4}))?$"
 )
+# A clock time after a date, with an optional half of the day and offset; and words that may come before a date.
+CLOCK = (
+    r"(?:,? +|t)(?:at +)?([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.[0-9]{1,9})?)?"
+    r"(?: ?([ap])\.?m\.?)?(?: ?\(?(z|utc|gmt|[+-][0-9]{2}:?[0-9]{2})\)?)?$"
+)
+LEAD_WORDS = r"^(?:last +)?(?:updated|posted|published|modified|date)(?: +on)?:? +"
 YEAR_FIRST = r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$"
 YEAR_LAST = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 
@@ -89,6 +95,24 @@ def _absolute(text: Column, now: Column) -> Column:
     )
 
 
+def _number(text: Column, group: int) -> Column:
+    return F.coalesce(F.regexp_extract(text, CLOCK, group).try_cast("int"), F.lit(0))
+
+
+def _dated_clock(text: Column, now: Column) -> Column:
+    """A date with a clock time, or a date after a word such as 'updated'; null for anything else."""
+    hour, minute, second = (_number(text, g) for g in (1, 2, 3))
+    half, zone = F.regexp_extract(text, CLOCK, 4), F.regexp_replace(F.regexp_extract(text, CLOCK, 5), ":", "")
+    hour24 = F.when(half == "", hour).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+    valid = F.when(half == "", hour < 24).otherwise(hour.between(1, 12)) & (minute < 60) & (second < 60)
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    offset = F.when(zone.rlike("^[+-]"), sign * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int"))).otherwise(0)
+    seconds = (hour24 * 60 + minute - offset) * 60 + second
+    plain = F.get(F.transform(F.array(F.regexp_replace(text, CLOCK, "")), lambda date: _absolute(date, now)), F.lit(0))
+    moment = F.timestamp_micros(F.unix_micros(plain) + seconds.cast("bigint") * SECOND_US)
+    return F.when(text.rlike(CLOCK), F.when(valid, moment)).otherwise(plain)
+
+
 @F.pandas_udf(T.TimestampType())
 def _fuzzy_dates(texts: pd.Series, nows: pd.Series) -> pd.Series:
     """Lenient reading of the texts no fixed shape covers; missing parts come from ``now``."""
@@ -121,12 +145,15 @@ def read_time(text: Column, now) -> Column:
         F.when(text.isin(NOW_WORDS), now)
         .when(text == "yesterday", now - F.expr("INTERVAL 24 HOURS"))
         .when(text.rlike(RELATIVE), _relative(text, now))
-        .otherwise(_absolute(text, now))
+        .otherwise(F.coalesce(_absolute(text, now), F.when(
+            text.rlike(CLOCK) | text.rlike(LEAD_WORDS),
+            F.get(F.transform(F.array(F.regexp_replace(text, LEAD_WORDS, "")), lambda rest: _dated_clock(rest, now)), F.lit(0)),
+        )))
     )
 
 
 def parse_time(value, now, fuzzy: bool = False) -> Column:
-    """Time text to an instant: now-words, yesterday, '<n> <unit>s ago', then absolute dates.
+    """Time text to an instant: now-words, yesterday, '<n> <unit>s ago', then absolute dates, with or without a clock time.
 
     Absolute dates without an offset are UTC, a date without a year takes the
     year of ``now``. Unreadable text is null, never a guess. ``fuzzy=True``

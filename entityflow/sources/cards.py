@@ -35,7 +35,7 @@ def _line(text: str) -> str:
 
 def signal_cards(html: str, row) -> Iterator[tuple]:
     """(title, href, time text) of every card that has all three."""
-    for card in select(Page(html).nodes, row.card_selector):
+    for card in select(Page(html, implied=True).nodes, row.card_selector):
         title = card if row.title_selector == "self" else first(card, row.title_selector)
         link = card if row.link_selector == "self" else first(card, row.link_selector)
         when = first(card, row.time_selector) if row.time_selector else None
@@ -63,7 +63,7 @@ def product_cards(html: str, row) -> Iterator[tuple]:
 def company_cards(html: str, row) -> Iterator[tuple]:
     """(name, href, badge naming the employees or None) of every company card."""
     card_rule, name_rule, badge_rule = COMPANY_CARD
-    for card in select(Page(html).nodes, card_rule):
+    for card in select(Page(html, implied=True).nodes, card_rule):
         name = first(card, name_rule)
         badges = (b.text() for b in select(within(card), badge_rule))
         badge = next((b for b in badges if re.search(r"[\d,]+\s+employees?", b, re.IGNORECASE)), None)
@@ -78,17 +78,17 @@ EXTRACTORS: dict[str, Callable] = {
 }
 
 
-def raw_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable] | None = None) -> DataFrame:
-    """Cards of every page: the ``keep`` columns plus card_no, title, href, extra.
+def read_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable] | None = None) -> DataFrame:
+    """Cards of every page: the ``keep`` columns plus card_no, title, href, extra, failure.
 
     ``pages`` is a page table joined to its site rows (html, extractor, the
-    selectors). A page whose reading fails gives no cards. Own extractors can
+    selectors). A page whose reading fails gives one row with the reason in ``failure`` and nothing else. Own extractors can
     be passed by name: functions (html, page row) -> (title, href, extra).
     """
     known = {**EXTRACTORS, **(extractors or {})}
     needs = ["html", "extractor", "card_selector", "title_selector", "link_selector", "time_selector"]
     columns = list(dict.fromkeys([*keep, *needs]))
-    found_fields = [T.StructField("card_no", T.IntegerType())] + [T.StructField(f, T.StringType()) for f in CARD_FIELDS]
+    found_fields = [T.StructField("card_no", T.IntegerType())] + [T.StructField(f, T.StringType()) for f in (*CARD_FIELDS, "failure")]
     schema = T.StructType(pages.select(*keep).schema.fields + found_fields)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,10 +98,12 @@ def raw_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable]
                 head = [getattr(row, c) for c in keep]
                 try:
                     found = list(known[row.extractor](row.html, row))
-                except Exception:  # a malformed page is skipped, never fatal
+                except Exception as error:  # a malformed page is told, never fatal
+                    rows.append((*head, None, *[None] * len(CARD_FIELDS), f"{type(error).__name__}: {error}"))
                     continue
-                rows += [(*head, i, *card) for i, card in enumerate(found)]
-            yield pd.DataFrame(rows, columns=[*keep, "card_no", *CARD_FIELDS])
+                rows += [(*head, i, *card, None) for i, card in enumerate(found)]
+            made = pd.DataFrame(rows, columns=[*keep, "card_no", *CARD_FIELDS, "failure"])
+            yield made.astype({"card_no": "Int32"})
 
     readable = pages.filter(F.col("html").isNotNull() & F.col("extractor").isin(sorted(known)))
     # A card needs its time element, so a page without any never has to reach Python.
@@ -110,6 +112,17 @@ def raw_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable]
     return readable.select(*columns).mapInPandas(extract, schema)
 
 
+def raw_cards(pages: DataFrame, keep: list[str], extractors: dict[str, Callable] | None = None) -> DataFrame:
+    """The cards of every page that could be read; ``page_failures`` lists the others."""
+    return read_cards(pages, keep, extractors).filter(F.col("failure").isNull()).drop("failure")
+
+
+def page_failures(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), extractors: dict[str, Callable] | None = None) -> DataFrame:
+    """The ``keep`` columns plus failure, one row per page whose reading failed."""
+    failed = read_cards(pages, list(keep), extractors).filter(F.col("failure").isNotNull())
+    return failed.select(*keep, "failure")
+
+
 def extract_cards(pages: DataFrame, now, hours: int | None = FRESHNESS_HOURS, fuzzy: bool = False) -> DataFrame:
     """Fresh news or job cards: (page_id, source_rank, site_name, site_url, card_no, title, url, published_at)."""
     keep = ["page_id", "source_rank", "site_name", "site_url"]
@@ -138,14 +151,26 @@ def extract_company_cards(pages: DataFrame, keep: tuple[str, ...] = ("page_id",
 
 # Job rows carry their data as attributes and an embedded JSON record, so plain
 # expressions can read them.
-JOB_ROW = r"(?is)<tr\b[^>]*>.*?</tr>"
-OPEN_TAG = r"(?is)^<tr\b[^>]*>"
+# A row may lack its end tag; it then ends at the next row or with its table.
+TAG_BODY = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
+JOB_ROW = rf"(?is)<tr\b{TAG_BODY}>.*?(?=</tr\b|<tr\b|</tbody\b|</table\b|\z)"
+OPEN_TAG = rf"(?is)^<tr\b{TAG_BODY}>"
 JSON_SCRIPT = r"(?is)<script\b[^>]*type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 JOB_RECORD = "title STRING, datePosted STRING"
 
 
+QUOTES = (r"\"([^\"]*)\"", r"'([^']*)'", r"([^\s\"'=<>`]+)")
+
+
+def _valued(name: str, value: str) -> str:
+    """An attribute of a start tag that isn't inside another one's quotes."""
+    return rf"(?is)^<\w+(?:\s+[^\s=>\"'/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?)*?\s+{name}\s*=\s*{value}"
+
+
 def _attribute(tag, name: str):
-    return empty_to_null(unescape_entities(F.regexp_extract(tag, rf"(?is)\s{name}=\"([^\"]*)\"", 1)))
+    """An attribute's value, in double, single or no quotes."""
+    found = [F.regexp_extract(tag, _valued(name, quote), 1) for quote in QUOTES]
+    return empty_to_null(unescape_entities(F.concat(*found)))
 
 
 def extract_job_postings(
@@ -163,7 +188,7 @@ def extract_job_postings(
     base = F.col(site_url) if isinstance(site_url, str) else site_url
     rows = pages.select("*", F.posexplode(F.regexp_extract_all("html", F.lit(JOB_ROW), 0)).alias("row_no", "__row"))
     rows = pin(rows.drop("html"), "__tag", F.regexp_extract("__row", OPEN_TAG, 0))
-    is_job = F.col("__tag").rlike(r"(?is)\sclass=\"([^\"]*\s)?job(\s[^\"]*)?\"") & F.col("__tag").rlike(r"(?is)\sdata-id(\s|=|>)")
+    is_job = _attribute(F.col("__tag"), "class").rlike(r"(?i)(^|\s)job(\s|$)") & F.col("__tag").rlike(r"(?is)\sdata-id(\s|=|>)")
     read = pin(rows.filter(is_job), "__rec", F.from_json(F.regexp_extract("__row", JSON_SCRIPT, 1), JOB_RECORD))
     read = pin(read, "published_at", parse_iso(strip("__rec.datePosted"))).withColumn(
         "__href", _attribute(F.col("__tag"), "data-href")

@@ -12,6 +12,19 @@ from html.parser import HTMLParser
 
 # Fixed value: elements that never have content.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# Which open elements a start tag ends, as a browser reads it, and the elements that such an end can't cross.
+BLOCKS = {
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer",
+    "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul",
+}
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu", "table", "td", "th"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    "tbody": ({"tr", "td", "th", "thead", "tbody", "tfoot"}, {"table"}), "thead": ({"tr", "td", "th", "tbody"}, {"table"}),
+    "tfoot": ({"tr", "td", "th", "thead", "tbody"}, {"table"}),
+}
+P_SCOPE = {"button", "td", "th", "table", "caption", "object", "template"}
 SIMPLE = re.compile(r"^([\w-]+|\*)?((?:\.[\w-]+|\[[^\]]+\])*)(?::has\(>\s*([\w-]+)\))?$")
 ATTR = re.compile(r"\[\s*([\w-]+)\s*(?:(\^?=)\s*['\"]?([^'\"\]]*)['\"]?\s*)?\]")
 
@@ -24,21 +37,30 @@ class Node:
         self.children, self.parts, self.last = [], [], 0
 
     def text(self) -> str:
-        return "".join(p if isinstance(p, str) else p.text() for p in self.parts)
+        return "".join(self.strings())
 
     def strings(self):
-        for part in self.parts:
-            if isinstance(part, str):
+        todo = [iter(self.parts)]
+        while todo:
+            part = next(todo[-1], None)
+            if part is None:
+                todo.pop()
+            elif isinstance(part, str):
                 yield part
             else:
-                yield from part.strings()
+                todo.append(iter(part.parts))
 
 
 class Page(HTMLParser):
-    """Elements in document order; unknown end tags are ignored, open ones close with their parent."""
+    """Elements in document order; unknown end tags are ignored, open ones close with their parent.
 
-    def __init__(self, html: str):
+    ``implied`` also ends an element where a browser does: a list item at the next one, a paragraph at the next block,
+    cells and rows at the next ones.
+    """
+
+    def __init__(self, html: str, implied: bool = False):
         super().__init__(convert_charrefs=True)
+        self.implied = implied
         self.root = Node("", {}, None)
         self.nodes: list[Node] = []
         self._open = [self.root]
@@ -49,7 +71,27 @@ class Page(HTMLParser):
         """Line numbers are never asked for; counting them is a tenth of the reading time."""
         return j
 
+    def _close_implied(self, tag):
+        if tag in BLOCKS:
+            self._close({"p"}, P_SCOPE)
+        if tag in IMPLIED:
+            self._close(*IMPLIED[tag])
+
+    def _close(self, ended, scope):
+        """End the outermost open element of ``ended`` above the nearest of ``scope``."""
+        last = None
+        for depth in range(len(self._open) - 1, 0, -1):
+            tag = self._open[depth].tag
+            if tag in scope:
+                break
+            if tag in ended:
+                last = depth
+        if last is not None:
+            del self._open[last:]
+
     def handle_starttag(self, tag, attrs):
+        if self.implied:
+            self._close_implied(tag)
         parent = self._open[-1]
         node = Node(tag, {k: v or "" for k, v in attrs}, parent)
         parent.children.append(node)
@@ -122,9 +164,14 @@ def _matches(node: Node, steps) -> bool:
 
 
 def within(node: Node):
-    for child in node.children:
-        yield child
-        yield from within(child)
+    todo = [iter(node.children)]
+    while todo:
+        child = next(todo[-1], None)
+        if child is None:
+            todo.pop()
+        else:
+            yield child
+            todo.append(iter(child.children))
 
 
 def select(nodes, selector: str):
