@@ -99,10 +99,14 @@ def best(queries: Lengths, query_ids, found: Lengths, ids, k: int, floor: np.nda
         if not len(q):
             continue
         rows, cols = np.unique(q), np.unique(c)
-        scores = whole_products(queries.v[live[rows]], found.v[part][cols])[np.searchsorted(rows, q), np.searchsorted(cols, c)]
-        q, c = live[q], c + a
-        other = query_ids[q] != ids[c]
-        q, c, scores = q[other], c[other], scores[other]
+        table = whole_products(queries.v[live[rows]], found.v[part][cols])
+        other = query_ids[live[rows], None] != ids[a + cols][None, :]
+        if len(cols) > k:
+            # The k-th score of this piece alone raises the floor before anything is sorted.
+            kth = np.partition(np.where(other, table, np.iinfo(np.int64).min), len(cols) - k, axis=1)[:, len(cols) - k]
+            floor[live[rows]] = np.maximum(floor[live[rows]], kth)
+        q, c = np.nonzero(other & (table >= floor[live[rows], None]))
+        scores, q, c = table[q, c], live[rows[q]], a + cols[c]
         kept_q, kept_c, kept_s = np.append(kept_q, q), np.append(kept_c, c), np.append(kept_s, scores)
         order = np.lexsort((ids[kept_c], -kept_s, kept_q))
         kept_q, kept_c, kept_s = kept_q[order], kept_c[order], kept_s[order]

@@ -73,10 +73,10 @@ def running_sum(rows: DataFrame, group: str, order: str, value: str) -> DataFram
 
 
 def log_factorial(x: Column) -> Column:
-    small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(10)])
-    y = x.cast("double") + 1
-    series = (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y)
-    return F.when(x < 10, F.element_at(small, (F.least(x, F.lit(9)) + 1).cast("int"))).otherwise(series)
+    """Stirling's series, six places further on for accuracy, less the logarithm of the factors gone too far."""
+    y = x.cast("double") + 7
+    factors = (y - 6) * (y - 5) * (y - 4) * (y - 3) * (y - 2) * (y - 1)
+    return (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * F.pow(y, F.lit(5))) - F.log(factors)
 
 
 def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
@@ -84,14 +84,15 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
 
     The walk covers 12 standard deviations around the mean, beyond which no double-precision ``u`` falls.
     """
-    def choose(n, k):
-        return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
-
     mean = drawn.cast("double") * marked / F.greatest(total, F.lit(1))
     spread = F.sqrt(mean * (1 - marked.cast("double") / F.greatest(total, F.lit(1))))
     low = F.greatest(F.lit(0), drawn - (total - marked), F.floor(mean - 12 * spread - 12)).cast("long")
     high = F.least(marked, drawn, F.ceil(mean + 12 * spread + 12)).cast("long")
-    start = F.exp(choose(marked, low) + choose(total - marked, drawn - low) - choose(total, drawn))
+    # log of C(marked, low) * C(total - marked, drawn - low) / C(total, drawn), as one signed sum of log factorials.
+    terms = [(1, marked), (-1, low), (-1, marked - low), (1, total - marked), (-1, drawn - low), (-1, total - marked - drawn + low),
+             (-1, total), (1, drawn), (1, total - drawn)]
+    terms = F.array(*[F.struct(F.lit(sign).alias("sign"), x.cast("double").alias("x")) for sign, x in terms])
+    start = F.exp(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t["sign"] * log_factorial(t["x"])))
 
     def step(acc, k):
         p = acc["p"] * (marked - k) * (drawn - k) / ((k + 1) * F.greatest(total - marked - drawn + k + 1, F.lit(1)))
@@ -125,7 +126,8 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
             F.struct("low", left_n.alias("n"), F.col("left").alias("quotas")),
             F.struct((F.col("low") + left_n).alias("low"), (F.col("n") - left_n).alias("n"),
                      F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas"))))
-        node = node.select(F.explode(halves).alias("half")).select("half.*").repartition("low")
+        # Written after each level: a plan of all levels would be analyzed whole, again and again.
+        node = settle(node.select(F.explode(halves).alias("half")).select("half.*").repartition("low"), "quota-nodes")
     return node.select(F.col("low").alias("shard"), F.posexplode("quotas").alias("idx", "quota"))
 
 
@@ -154,11 +156,12 @@ def plan_mix(docs: DataFrame, weights: list[float], share: float, cap: float, se
 
     blocks = blocked(sized).groupBy("idx", "block").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     whole = F.col("total") <= F.col("rest")
-    filled = running_sum(blocks, "idx", "block", "words").groupBy("idx").agg(
+    summed = settle(running_sum(blocks, "idx", "block", "words"), "block-sums")
+    filled = summed.groupBy("idx").agg(
         F.sum(whole.cast("long")).alias("whole"), F.max("block").alias("last"),
         F.max(F.when(whole, F.col("total")).otherwise(0)).alias("words"), F.first("rest").alias("rest"))
     # Blocks that hold no document are missing among the totals; all before the first unfilled one count as drawn.
-    gaps = running_sum(blocks, "idx", "block", "words").where(~whole).groupBy("idx").agg(F.min("block").alias("open"))
+    gaps = summed.where(~whole).groupBy("idx").agg(F.min("block").alias("open"))
     filled = settle(filled.join(gaps, "idx", "left").select(
         "idx", F.coalesce("open", F.when(F.col("rest") >= 0, F.col("last") + 1), F.lit(0)).alias("whole"), (F.col("rest") - F.col("words")).alias("rest")), "filled")
 
