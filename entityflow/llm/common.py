@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 from collections.abc import Iterator
@@ -13,11 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Text bytes that one numpy or Arrow step handles at once. A longer single text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
+# Rows and bytes of text that Spark hands to Python at once.
+BATCH_ROWS, BATCH_BYTES = "2000", "16m"
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the text column of each piece holds about ``limit`` bytes."""
+    release()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -26,11 +31,30 @@ def steps(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = STEP_
         starts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):
             yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Give memory that this worker no longer uses back to the machine; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound what a Python worker holds at once, as texts can be long."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under fixed names; other columns and their names don't matter."""
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return small_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
 def id_type(docs: DataFrame, id_col: str) -> str:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityflow.llm.common import id_and_text, id_type, per_process, steps
+from entityflow.llm.common import id_and_text, id_type, per_process, small_batches, steps
 from entityflow.session import settle
 
 Q = 10
@@ -249,5 +249,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
     """The rows of ``docs`` without any leak, all columns kept; decided where the row is, one filter per block of windows."""
     at = docs.columns.index(text_col)
     for windows in blocks(benchmark, item_col, item_text_col):
-        docs = docs.mapInArrow(_clean(windows, at), docs.schema)
+        docs = small_batches(docs).mapInArrow(_clean(windows, at), docs.schema)
     return docs

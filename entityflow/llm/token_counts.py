@@ -35,7 +35,7 @@ STATES = 8
 
 CHUNK = 512
 MERGE_STEPS = 32  # steps after which nearly every chunk's 8 start states have met
-ARCS = 500_000
+ARCS = 400_000
 LONGEST_ARC = 64
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,10 +82,11 @@ def unpack(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole text columns. Texts are cut at ASCII separators, which no token crosses; each distinct word is
-    encoded by the library once and then looked up."""
+    """Ids of whole text columns. Texts are cut at ASCII separators, which no token crosses, and a run of letters from the
+    full stops and commas after it, with which it never merges; each distinct part is encoded by the library once and then
+    looked up."""
 
-    WORDS = 500_000
+    PARTS = 400_000
     LONGEST = 64
 
     def __init__(self, path: str):
@@ -95,53 +97,51 @@ class Encoder:
         self.place: dict[str, int] = {"": 0}
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def add(self, words: list[str]) -> None:
-        """Encode new words. A run of letters never merges with the full stops and commas after it."""
-        cut = {}
-        for w in words:
-            core = w.rstrip(".,")
-            cut[w] = (core, w[len(core):]) if core.isalpha() else (w, "")
-        parts = list(dict.fromkeys(p for pair in cut.values() for p in pair if p not in self.place))
-        coded = dict(zip(parts, (e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False))))
-        fresh: list[list[int]] = []
-        for p in parts:
-            self.place[p] = len(self.starts) + len(fresh)
-            fresh.append(coded[p])
-        for w, (core, tail) in cut.items():
-            if w not in self.place:
-                self.place[w] = len(self.starts) + len(fresh)
-                fresh.append([i for p in (core, tail) for i in (coded[p] if p in coded else self.known(p))])
-        sizes = np.fromiter(map(len, fresh), np.int64, len(fresh))
-        flat = np.fromiter((i for ids in fresh for i in ids), np.uint32, int(sizes.sum()))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, flat])
-
-    def known(self, word: str) -> list[int]:
-        k = self.place[word]
-        return self.ids[self.starts[k]:self.starts[k] + self.sizes[k]].tolist()
+    def places(self, parts: list[str]) -> np.ndarray:
+        """Where each part's ids are; new parts are encoded first."""
+        new = [p for p in parts if p not in self.place]
+        if new:
+            coded = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            flat = np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum()))
+            self.place.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, flat])
+        found = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+        for p in new:
+            if len(p) > self.LONGEST:
+                del self.place[p]
+        return found
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids per text, each with ``end_id`` at its end."""
-        if len(self.starts) > self.WORDS or len(self.ids) > 8 * self.WORDS:
+        if len(self.starts) > self.PARTS or len(self.ids) > 8 * self.PARTS:
             self.reset()
         words = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.string()), ""))
         bounds = np.asarray(words.offsets, np.int64)
         coded = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        new = [w for w in names if w not in self.place]
-        if new:
-            self.add(new)
-        where = np.fromiter((self.place[w] for w in names), np.int64, len(names))
-        size_of, start_of = np.append(self.sizes[where], 1), np.append(self.starts[where], len(self.ids))
-        per_text = np.diff(bounds)
-        seq = np.insert(np.asarray(coded.indices, np.int64), bounds[1:] - bounds[0], len(names))  # the end of each text
+        core = pc.utf8_rtrim(coded.dictionary, characters=".,")
+        letters = pc.utf8_is_alpha(core)
+        core = pc.if_else(letters, core, coded.dictionary)
+        rest = np.asarray(pc.subtract(pc.utf8_length(coded.dictionary), pc.utf8_length(core)), np.int64)
+        # The tokenizer reads letters in lower case, so spellings that differ in A-Z share a part.
+        core = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core).dictionary_encode()
+        core_at = self.places(core.dictionary.to_pylist())[np.asarray(core.indices, np.int64)] if len(core) else np.zeros(0, np.int64)
+        tail_at = np.zeros(len(core_at), np.int64)
+        with_tail = np.flatnonzero(rest)
+        if len(with_tail):
+            names = coded.dictionary.take(pa.array(with_tail)).to_pylist()
+            tail_at[with_tail] = self.places([w[-int(n):] for w, n in zip(names, rest[with_tail])])
+        size_of, start_of = np.append(self.sizes, 1), np.append(self.starts, len(self.ids))
+        index = np.asarray(coded.indices, np.int64)
+        seq = np.stack([core_at[index], tail_at[index]], 1).ravel()
+        seq = np.insert(seq, 2 * (bounds[1:] - bounds[0]), len(self.sizes))  # the end of each text
         sizes = size_of[seq]
         ends = np.cumsum(sizes)
-        out = np.append(self.ids, np.uint32(end_id))[np.repeat(start_of[seq] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        n_ids = np.diff(np.concatenate([[0], ends[np.cumsum(per_text + 1) - 1]]))
-        for w in [w for w in new if len(w) > self.LONGEST]:
-            self.place.pop(w, None)
+        total = int(ends[-1]) if len(ends) else 0
+        out = np.append(self.ids, np.uint32(end_id))[np.repeat(start_of[seq] - ends + sizes, sizes) + np.arange(total)]
+        n_ids = np.diff(np.concatenate([[0], ends[np.cumsum(2 * np.diff(bounds) + 1) - 1]]))
         return out, n_ids
 
 
