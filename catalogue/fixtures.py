@@ -59,6 +59,11 @@ SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 0 THEN 'list' WHEN 1 THEN '
   || '<tr class=job data-id=2 data-href=/k><td>no record</table>'
  ELSE '<article>x<time></time></article>' END AS html
 FROM customer
+""",
+    "fx_near_vectors": r"""
+SELECT vec_id, embedding FROM embeddings
+UNION ALL SELECT 1000000 + vec_id, embedding FROM embeddings WHERE vec_id % 3 = 0
+UNION ALL SELECT 2000000 + vec_id, transform(embedding, x -> CAST(x * 2 + CAST(0.001 AS FLOAT) AS FLOAT)) FROM embeddings
 """,
     "fx_startups": r"""
 SELECT c_custkey AS row_id, CAST(c_custkey % 5 AS INT) AS source_rank, CAST(c_custkey % 7 AS INT) AS page_no,
@@ -141,6 +146,13 @@ DEPENDS = {
 }
 
 # DuckDB multiplies documents by two constant lists; Spark explodes them in place.
+DUCKDB_ONLY = {
+    "fx_near_vectors": r"""
+SELECT vec_id, embedding FROM embeddings
+UNION ALL SELECT 1000000 + vec_id, embedding FROM embeddings WHERE vec_id % 3 = 0
+UNION ALL SELECT 2000000 + vec_id, list_transform(embedding, lambda x: CAST(x * 2 + CAST(0.001 AS FLOAT) AS FLOAT)) FROM embeddings
+""",
+}
 SPARK_ONLY = {
     "fx_replies": r"""
 SELECT doc_id, chunk_no, provider_rank,
@@ -175,7 +187,7 @@ def with_views(sql: str, *names: str) -> str:
     ordered: list[str] = []
     for name in names:
         ordered += [n for n in [*DEPENDS.get(name, []), name] if n not in ordered]
-    heads = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in ordered)
+    heads = ",\n".join(f"{n} AS ({DUCKDB_ONLY.get(n, VIEWS[n]).strip()})" for n in ordered)
     body = sql.strip()
     if body[:5].upper() == "WITH ":
         recursive = body[5:].lstrip()[:10].upper() == "RECURSIVE "

@@ -798,6 +798,12 @@ def near_duplicates(spark, sf):
     return vectors.near_duplicates(table(spark, sf, "embeddings"), 0.4)
 
 
+@query
+def near_duplicates_banded(spark, sf):
+    """Planted copies, scaled and shifted, of every vector, found by shared band keys."""
+    return vectors.near_duplicates_banded(view(spark, sf, "fx_near_vectors"), 0.98)
+
+
 # --- whole plans ---------------------------------------------------------------------------------
 
 

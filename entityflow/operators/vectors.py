@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from entityflow.session import settle
 
 SCORE_DIGITS = 6
-MAX_QUERIES = 1_000
+QUERY_BLOCK = 1_000
 BLOCK_ROWS = 2_000
 MAX_PIVOTS = 1_024
 
@@ -31,27 +31,33 @@ def _stack(column: pd.Series) -> np.ndarray:
 def similar(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k most similar vectors of every query: (query_id, <id>, score, rank).
 
-    One scan: Arrow batches are multiplied with the query matrix, each task
-    keeps its running k best per query and sends on only those; they are
-    ranked in the end. Ties go to the smaller (integer) id. ``queries``
-    (query_id, <vec>) is a search request of at most MAX_QUERIES rows; its
-    size is checked, longer requests are answered by calling this in parts.
+    Any number of queries (query_id, <vec>), answered in blocks of QUERY_BLOCK: each block is one scan of ``emb``, in which
+    Arrow batches are multiplied with the block's matrix, each task keeps its running k best per query and sends on only those.
+    The driver holds one block at a time. Ties go to the smaller (integer) id.
     """
-    wanted = queries.select("query_id", vec_col).limit(MAX_QUERIES + 1).collect()
-    if len(wanted) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries in one search request")
-    id_type = emb.schema[id_col].dataType
-    out_schema = T.StructType([
-        queries.schema["query_id"],
-        T.StructField(id_col, id_type),
-        T.StructField("score", T.DoubleType()),
-    ])
-    if not wanted:
+    out_schema = T.StructType([queries.schema["query_id"], T.StructField(id_col, emb.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
+    vectors = emb.select(id_col, vec_col)
+
+    def answered(block: list) -> DataFrame:
+        matrix = _unit(np.array([r[1] for r in block], dtype=np.float64))
+        return vectors.mapInPandas(_best_per_task(np.array([r[0] for r in block]), matrix, k, id_col, vec_col), out_schema)
+
+    parts, block = [], []
+    for row in queries.select("query_id", vec_col).toLocalIterator():
+        block.append(row)
+        if len(block) == QUERY_BLOCK:
+            parts.append(answered(block))
+            block = []
+    if block:
+        parts.append(answered(block))
+    if not parts:
         return emb.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(0))
-    query_ids = [r[0] for r in wanted]
-    query_matrix = _unit(np.array([r[1] for r in wanted], dtype=np.float64))
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(id_col))
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
 
-    def best_per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _best_per_task(query_ids: np.ndarray, query_matrix: np.ndarray, k: int, id_col: str, vec_col: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Running winners, one row per query.
         best_scores = np.full((len(query_ids), 0), 0.0)
         best_ids = np.empty((len(query_ids), 0), dtype=np.int64)
@@ -65,13 +71,9 @@ def similar(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
             order = np.lexsort((pool, -scores), axis=1)[:, :k]
             best_scores, best_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(pool, order, 1)
         width = best_ids.shape[1]
-        yield pd.DataFrame({
-            "query_id": np.repeat(np.array(query_ids), width), id_col: best_ids.ravel(), "score": best_scores.ravel()
-        })
+        yield pd.DataFrame({"query_id": np.repeat(query_ids, width), id_col: best_ids.ravel(), "score": best_scores.ravel()})
 
-    partial = emb.select(id_col, vec_col).mapInPandas(best_per_task, out_schema)
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(id_col))
-    return partial.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
+    return run
 
 
 # --- near duplicates ------------------------------------------------------------------
@@ -166,8 +168,9 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, dup_of): vectors with an earlier near-duplicate, and the earliest such id.
 
-    Exact: every vector with a lower-id vector at cosine >= ``min_cos`` is
-    listed. The result has one row per vector instead of one per pair, so a
+    Exact, and in the worst case quadratic: at low thresholds nearly every cell meets every vector. For large tables,
+    ``near_duplicates_banded`` compares only vectors that share a key. Every vector with a lower-id vector at cosine >=
+    ``min_cos`` is listed. The result has one row per vector instead of one per pair, so a
     story copied n times gives n - 1 rows. Equal vectors are collapsed before
     any comparison. The members of a cell are first compared with its
     earliest block alone: a match there is the earliest of the cell, so a
@@ -221,3 +224,100 @@ def near_duplicates(
         .select(id_col, F.coalesce("dup_of", "__first").alias("dup_of"))
     )
     return found.unionByName(followers)
+
+
+# --- near duplicates by banded keys ----------------------------------------------------
+
+
+def _band_keys(bands: int, bits: int, seed: int, dims: int, id_col: str, vec_col: str):
+    planes = np.random.default_rng(seed).normal(size=(dims, bands * bits))
+    powers = 1 << np.arange(bits, dtype=np.int64)
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            unit = _unit(_stack(batch[vec_col]))
+            key = ((unit @ planes > 0).reshape(len(unit), bands, bits) * powers).sum(axis=2)
+            yield pd.DataFrame({
+                "band": np.tile(np.arange(bands, dtype=np.int32), len(unit)), "key": key.ravel(),
+                id_col: np.repeat(batch[id_col].to_numpy(), bands), vec_col: [v for v in unit for _ in range(bands)],
+            })
+
+    return keys
+
+
+def _near_in_order(min_cos: float, window: int, id_col: str, vec_col: str):
+    """Rows sorted by bucket and id -> matches with the bucket's first rows and with the rows just before."""
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Of each bucket: its first ``window`` rows stay, and the last ``window`` rows slide along.
+        bucket, first, recent = None, None, None
+        for batch in batches:
+            for mine, group in batch.groupby(["band", "key"], sort=False):
+                if mine != bucket:
+                    bucket, first, recent = mine, None, None
+                ids, unit = group[id_col].to_numpy(), _stack(group[vec_col])
+                for a in range(0, len(ids), window):
+                    new_ids, new = ids[a:a + window], unit[a:a + window]
+                    parts = [x for x in (first, recent) if x is not None]
+                    pool_ids = np.concatenate([*(x[0] for x in parts), new_ids])
+                    pool = np.concatenate([*(x[1] for x in parts), new])
+                    near = (new @ pool.T >= min_cos) & (pool_ids[None, :] < new_ids[:, None])
+                    least = np.where(near, pool_ids[None, :], np.iinfo(np.int64).max).min(axis=1)
+                    hit = near.any(axis=1)
+                    if hit.any():
+                        yield pd.DataFrame({id_col: new_ids[hit], "dup_of": least[hit]})
+                    if first is None:
+                        first = (new_ids, new)
+                    else:
+                        recent = (new_ids, new)
+
+    return match
+
+
+def near_duplicates_banded(
+    emb: DataFrame,
+    min_cos: float,
+    bands: int = 24,
+    bits: int = 12,
+    seed: int = 1,
+    window: int = 256,
+    id_col: str = "vec_id",
+    vec_col: str = "embedding",
+) -> DataFrame:
+    """(id, dup_of): vectors that share a key of some band with an earlier vector at cosine >= ``min_cos``.
+
+    A band's key is the sides of ``bits`` random planes that a vector lies on; two vectors at angle a share it with
+    probability (1 - a / pi) ^ bits, so with the defaults vectors at cosine 0.98 meet in some band with probability 0.999
+    and vectors at right angles in 0.6 %. Candidates are checked exactly, so every row listed is right; ``dup_of`` is the
+    earliest match found. Equal vectors are collapsed first. Buckets are sorted by id across tasks, so a hot bucket is cut
+    wherever a task ends; within a bucket, a row is compared with the first ``window`` rows, which stand for a crowd of
+    near-copies, and with the rows just before it. Work is linear in the rows times bands * window. Ids are integers.
+    """
+    copies = emb.select(id_col, vec_col)
+    distinct = settle(
+        copies.groupBy(vec_col).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("n_copies")), "distinct-vectors"
+    )
+    some = distinct.select(F.size(vec_col)).first()
+    if some is None:
+        return copies.select(id_col, F.col(id_col).alias("dup_of")).limit(0)
+    id_field = emb.schema[id_col]
+    keyed_schema = T.StructType([
+        T.StructField("band", T.IntegerType()), T.StructField("key", T.LongType()), id_field, T.StructField(vec_col, T.ArrayType(T.DoubleType())),
+    ])
+    keyed = distinct.select(id_col, vec_col).mapInPandas(_band_keys(bands, bits, seed, some[0], id_col, vec_col), keyed_schema)
+    # A lone key needs no comparison.
+    keyed = settle(keyed, "band-keys")
+    shared = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "key")
+    rows = keyed.join(shared, ["band", "key"], "left_semi").repartitionByRange("band", "key", id_col).sortWithinPartitions("band", "key", id_col)
+    out = T.StructType([id_field, T.StructField("dup_of", id_field.dataType)])
+    matches = rows.mapInPandas(_near_in_order(min_cos, window, id_col, vec_col), out)
+    found = settle(matches.groupBy(id_col).agg(F.min("dup_of").alias("dup_of")), "vector-matches")
+    repeated = distinct.filter("n_copies > 1").select(vec_col, F.col(id_col).alias("__first"))
+    followers = (
+        copies.join(repeated, vec_col).filter(F.col(id_col) != F.col("__first")).select(id_col, "__first")
+        .join(found.select(F.col(id_col).alias("__first"), "dup_of"), "__first", "left")
+        .select(id_col, F.coalesce("dup_of", "__first").alias("dup_of"))
+    )
+    return found.unionByName(followers)

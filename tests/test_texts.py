@@ -1,3 +1,4 @@
+import pandas as pd
 import random
 
 import numpy as np
@@ -136,7 +137,7 @@ def test_near_duplicates_equal_brute_force(spark, min_cos, pivots, block_rows):
     assert {r["vec_id"]: r["dup_of"] for r in got.collect()} == want
 
 
-def test_similar(spark):
+def test_similar(spark, monkeypatch):
     points = clustered(5)
     unit = points / np.linalg.norm(points, axis=1, keepdims=True)
     emb = vector_table(spark, points).repartition(5)
@@ -147,6 +148,28 @@ def test_similar(spark):
         want = sorted(range(len(points)), key=lambda i: (-scores[i], i))[:6]
         assert [r["vec_id"] for r in sorted((r for r in rows if r["query_id"] == q), key=lambda r: r["rank"])] == want
     assert vectors.similar(emb, queries.filter("query_id < 0")).count() == 0
-    with pytest.raises(ValueError):
-        many = spark.range(vectors.MAX_QUERIES + 1).select(F.col("id").alias("query_id"), F.array(F.lit(1.0)).alias("embedding"))
-        vectors.similar(emb, many)
+    # Any number of queries: here each in a block of its own.
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 1)
+    apart = vectors.similar(emb, queries, k=6).collect()
+    assert sorted(map(tuple, apart)) == sorted(map(tuple, rows))
+
+
+def test_banded_near_duplicates_recall_and_work(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(400, 48))
+    copies = base[:200] * rng.uniform(0.5, 2, (200, 1)) + rng.normal(size=(200, 48)) * 0.06
+    points = np.concatenate([base, copies, base[:20]])
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    near = np.tril(unit @ unit.T >= 0.98, -1)
+    want = {int(i) for i in np.flatnonzero(near.any(1))}
+    got = {r.vec_id: r.dup_of for r in vectors.near_duplicates_banded(vector_table(spark, points), 0.98).collect()}
+    assert all(near[i, j] for i, j in got.items())
+    assert len(want & set(got)) >= 0.98 * len(want)
+    # Candidates per vector stay far below the number of vectors: bands * (pairs that share a random key).
+    keys = list(vectors._band_keys(24, 12, 1, 48, "vec_id", "embedding")(iter([pd.DataFrame({"vec_id": range(400), "embedding": list(base)})])))[0]
+    sizes = keys.groupby(["band", "key"]).size()
+    assert (sizes * (sizes - 1)).sum() / 400 < 8
+    crowd = np.tile(base[0], (900, 1)) + rng.normal(size=(900, 48)) * 1e-4
+    found = vectors.near_duplicates_banded(vector_table(spark, crowd), 0.99, window=64).collect()
+    assert {r.vec_id for r in found} == set(range(1, 900)) and {r.dup_of for r in found} == {0}
+    assert vectors.near_duplicates_banded(vector_table(spark, points).limit(0), 0.9).count() == 0
