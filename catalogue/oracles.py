@@ -495,6 +495,11 @@ WITH RECURSIVE e AS (SELECT DISTINCT user_id, ts FROM events),
 acc AS (SELECT user_id, min(ts) AS ts FROM e GROUP BY user_id
  UNION ALL SELECT e.user_id, min(e.ts) FROM acc JOIN e ON e.user_id = acc.user_id AND e.ts >= acc.ts + INTERVAL 24 HOURS GROUP BY e.user_id)
 SELECT user_id, epoch_us(ts) AS ts_us FROM acc"""
+ORACLES["ttl_dedup_hot_key"] = """
+WITH RECURSIVE e AS (SELECT DISTINCT CASE WHEN event_id % 3 = 0 THEN -1 ELSE CAST(user_id AS BIGINT) END AS k, ts FROM events),
+acc AS (SELECT k, min(ts) AS ts FROM e GROUP BY k
+ UNION ALL SELECT e.k, min(e.ts) FROM acc JOIN e ON e.k = acc.k AND e.ts >= acc.ts + INTERVAL 1 HOUR GROUP BY e.k)
+SELECT k, epoch_us(ts) AS ts_us FROM acc"""
 ORACLES["ttl_dedup_stream"] = ORACLES["ttl_dedup"]
 ORACLES["dedup_stream"] = "SELECT DISTINCT user_id FROM events"
 

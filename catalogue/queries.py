@@ -703,6 +703,14 @@ def drained(spark, stream, label):
     return spark.read.schema(stream.schema).parquet(sink)
 
 
+@query
+def ttl_dedup_hot_key(spark, sf):
+    """One key holds a third of all rows, and a time to live of one hour makes long runs of accepted times."""
+    events = table(spark, sf, "events").withColumn("k", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).cast("bigint"))
+    got = dedup.ttl_dedup(events, "k", "ts", 1)
+    return got.select("k", F.unix_micros("ts").alias("ts_us"))
+
+
 @query
 def fresh_stream(spark, sf):
     fresh = feeds.fresh_stream(event_stream(spark, sf).select("event_id", "user_id", "ts"), now=NOW)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityflow.schemas import PAGE_CAP, PAGE_SIZE
-from entityflow.session import settle, work_path
+from entityflow.session import settle
 
 FIRST_SEEN_ORDER = ("source_rank", "page_no", "row_id")
 WINDOW_FAN = 32
@@ -152,79 +151,65 @@ def unseen(new: DataFrame, seen: DataFrame, key: str = "url_key") -> DataFrame:
 
 
 # --- exact time-to-live dedup ---------------------------------------------------
+#
+# A time at least one TTL after the one before it is always accepted: it starts an island. From an accepted time t, the
+# next accepted one is the first time at or after t + TTL. So the accepted times are those that these links reach from
+# the islands' starts, and links of doubled length find them in a logarithmic number of steps.
 
-FOLD_LIMIT = 100_000
+SLOTS = 1024  # slots per TTL; a slot of one key is the largest piece that one task puts in order
+NARROWING = 2  # rounds that leave out times which no link leads to
 
 
-def _fold_ttl(keys: DataFrame, key: str, ttl_us: int) -> DataFrame:
-    """Greedy pass over each key's sorted distinct times, as one native fold."""
-    times = keys.groupBy(key).agg(F.array_sort(F.collect_set("__us")).alias("__all"))
-    kept = F.aggregate(
-        "__all",
-        F.struct(F.array().cast("array<bigint>").alias("kept"), F.lit(None).cast("bigint").alias("last")),
-        lambda acc, t: F.when(
-            acc["last"].isNull() | (t >= acc["last"] + F.lit(ttl_us)),
-            F.struct(F.concat(acc["kept"], F.array(t)).alias("kept"), t.alias("last")),
-        ).otherwise(acc),
-        lambda acc: acc["kept"],
-    )
-    return times.select(key, F.explode(kept).alias("__us"))
-
+def _links(times: DataFrame, key: str, ttl_us: int, slots: int) -> DataFrame:
+    """(key, us, next): the first time of the key at or after us + TTL; null where there is none.
 
-def _bucket_ttl(keys: DataFrame, key: str, ttl_us: int) -> DataFrame:
-    """The same answer for keys too large to gather, one TTL-wide bucket of time after another.
-
-    A bucket as wide as the TTL holds at most one accepted time per key, and
-    only the bucket just before can still block it. So each step is a min()
-    per key (combined on the map side) over one partition of a written table;
-    across all steps every row is read once.
+    A probe at us + TTL looks for the first time after it within its own slot, else for the first time of the next slot
+    that has any. Slots of a key are ordered among themselves by one narrow row each.
     """
-    spark = keys.sparkSession
-    table = work_path(spark, "ttl-buckets")
-    bucketed = keys.withColumn("__bucket", F.floor(F.col("__us") / ttl_us))
-    # Sixteen writers per bucket keep the file count apart from the task count.
-    writers = F.pmod(F.xxhash64("__us"), F.lit(16))
-    bucketed.repartition(F.col("__bucket"), writers).write.partitionBy("__bucket").parquet(table)
-    stored = spark.read.parquet(table)
-    buckets = sorted(r[0] for r in stored.select("__bucket").distinct().collect())
-    accepted: list[str] = []
-    previous, previous_bucket = None, None
-    for bucket in buckets:
-        rows = stored.filter(F.col("__bucket") == bucket).select(key, "__us")
-        if previous is not None and previous_bucket == bucket - 1:
-            # Pre-aggregated to distinct times, so a hot key is already compact here.
-            last = spark.read.parquet(previous).withColumnRenamed("__us", "__last")
-            rows = rows.join(last, key, "left").filter(
-                F.col("__last").isNull() | (F.col("__us") >= F.col("__last") + F.lit(ttl_us))
-            )
-        path = work_path(spark, "ttl-accepted")
-        rows.groupBy(key).agg(F.min("__us").alias("__us")).write.parquet(path)
-        accepted.append(path)
-        previous, previous_bucket = path, bucket
-    return spark.read.parquet(*accepted)
-
-
-def ttl_dedup(df: DataFrame, key: str, ts: str, ttl_hours: int = 24, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    width = max(1, ttl_us // slots)
+    slot = lambda c: F.floor(c / width).cast("bigint")
+    points = times.select(key, F.col("us").alias("at"), F.lit(None).cast("bigint").alias("us"))
+    probes = times.select(key, (F.col("us") + ttl_us).alias("at"), "us")
+    both = points.unionByName(probes).withColumn("slot", slot(F.col("at")))
+    point = F.when(F.col("us").isNull(), F.col("at"))
+    within = Window.partitionBy(key, "slot").orderBy("at", F.col("us").desc_nulls_last()).rowsBetween(0, Window.unboundedFollowing)
+    found = both.withColumn("next", F.min(point).over(within)).filter(F.col("us").isNotNull())
+    later = Window.partitionBy(key).orderBy("slot").rowsBetween(1, Window.unboundedFollowing)
+    firsts = both.groupBy(key, "slot").agg(F.min(point).alias("first")).withColumn("later", F.min("first").over(later))
+    return found.join(firsts.select(key, "slot", "later"), [key, "slot"]).select(key, "us", F.coalesce("next", "later").alias("next"))
+
+
+def ttl_dedup(df: DataFrame, key: str, ts: str, ttl_hours: int = 24, slots: int = SLOTS) -> DataFrame:
     """Accepted (key, time) pairs: a repeat within the TTL of the last accepted row is a no-op.
 
-    A repeat does not extend the TTL; a row exactly one TTL later is accepted.
-    Times are first reduced to distinct (key, time) pairs. Keys with at most
-    ``fold_limit`` distinct times are folded in one native pass; larger keys
-    take the bucketed pass, so no task ever gathers an unbounded group.
+    A repeat does not extend the TTL; a row exactly one TTL later is accepted. Rows without a key or time drop. Times are
+    first reduced to distinct (key, time) pairs. The number of jobs grows with the logarithm of the longest run of accepted
+    times, not with the time span or the number of rows, and no key is ever gathered in one task or row.
     """
     ttl_us = int(ttl_hours) * 3_600 * 1_000_000
-    stamped = df.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("__us")).filter(
-        F.col(key).isNotNull() & F.col("__us").isNotNull()
+    stamped = df.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).filter(
+        F.col(key).isNotNull() & F.col("us").isNotNull()
     )
-    # Plain row counts bound the distinct times from above and combine on the map side.
-    hot = stamped.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > fold_limit).select(key)
-    # A distributed count of the large keys decides the route; usually there are none.
-    if hot.isEmpty():
-        parts = [_fold_ttl(stamped.distinct(), key, ttl_us)]
-    else:
-        parts = [
-            _fold_ttl(stamped.join(hot, key, "left_anti").distinct(), key, ttl_us),
-            _bucket_ttl(stamped.join(hot, key, "left_semi").distinct(), key, ttl_us),
-        ]
-    accepted = reduce(DataFrame.unionByName, parts)
-    return accepted.select(key, F.timestamp_micros("__us").alias(ts))
+    times = settle(stamped.distinct(), "ttl-times")
+    # The time before: in the same slot, else the last one of the slot before that has any.
+    slotted = times.withColumn("slot", F.floor(F.col("us") / max(1, ttl_us // slots)))
+    in_slot, by_slot = Window.partitionBy(key, "slot").orderBy("us"), Window.partitionBy(key).orderBy("slot")
+    lasts = slotted.groupBy(key, "slot").agg(F.max("us").alias("last")).withColumn("last", F.lag("last").over(by_slot))
+    before = slotted.withColumn("before", F.lag("us").over(in_slot)).join(lasts, [key, "slot"])
+    before = before.withColumn("before", F.coalesce("before", "last"))
+    starts = settle(before.filter(F.col("before").isNull() | (F.col("us") - F.col("before") >= ttl_us)).select(key, "us"), "ttl-starts")
+    links = settle(_links(times, key, ttl_us, slots).filter(F.col("next").isNotNull()), "ttl-links")
+    for _ in range(NARROWING):
+        # Only starts and what links lead to can be accepted.
+        kept = starts.unionByName(links.select(key, F.col("next").alias("us"))).distinct()
+        links = settle(links.join(kept, [key, "us"], "left_semi"), "ttl-links")
+    reached, size = starts, starts.count()
+    while True:
+        step = reached.join(links, [key, "us"]).select(key, F.col("next").alias("us"))
+        reached = settle(reached.unionByName(step).distinct(), "ttl-reached")
+        size, before_size = reached.count(), size
+        if size == before_size:
+            break
+        hop = links.select(key, F.col("us").alias("next"), F.col("next").alias("then"))
+        links = settle(links.join(hop, [key, "next"]).select(key, "us", F.col("then").alias("next")), "ttl-links")
+    return reached.select(key, F.timestamp_micros("us").alias(ts))

@@ -93,19 +93,31 @@ def greedy(times, ttl):
     return out
 
 
-@pytest.mark.parametrize("fold_limit", [100_000, 20, 0])
-def test_ttl_dedup(spark, fold_limit):
+@pytest.mark.parametrize("slots", [1024, 20, 1])
+def test_ttl_dedup(spark, slots):
     rng = random.Random(9)
     start = datetime(2024, 1, 1)
     # Key "hot" holds most of the rows.
     data = [("hot" if rng.random() < 0.6 else f"k{rng.randint(0, 20)}", start + timedelta(minutes=rng.randint(0, 20_000))) for _ in range(600)]
     data += [("edge", start + timedelta(hours=h)) for h in (0, 1, 20, 24, 31, 62, 48)] + [(None, start)]
     df = spark.createDataFrame(data, "k string, ts timestamp")
-    got = {(r["k"], r["ts"]) for r in dedup.ttl_dedup(df, "k", "ts", 24, fold_limit=fold_limit).collect()}
+    got = {(r["k"], r["ts"]) for r in dedup.ttl_dedup(df, "k", "ts", 24, slots=slots).collect()}
     want = {(k, t) for k in {d[0] for d in data if d[0]} for t in greedy([d[1] for d in data if d[0] == k], timedelta(hours=24))}
     assert got == want
 
 
+def test_ttl_jobs_do_not_follow_the_time_span(spark):
+    """A chain of 500 accepted times takes a logarithmic number of jobs."""
+    start = datetime(2020, 1, 1)
+    df = spark.createDataFrame([("a", start + timedelta(hours=20 * i)) for i in range(800)], "k string, ts timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ttl", "ttl")
+    got = sorted(r["ts"] for r in dedup.ttl_dedup(df, "k", "ts", 24).collect())
+    assert got == greedy([start + timedelta(hours=20 * i) for i in range(800)], timedelta(hours=24))
+    assert len(tracker.getJobIdsForGroup("ttl")) < 120
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_ttl_example(spark):
     start = datetime(2024, 1, 1)
     df = spark.createDataFrame([("a", start + timedelta(hours=h)) for h in (0, 1, 20, 31, 62)], "k string, ts timestamp")
