@@ -17,11 +17,18 @@ from pyspark.sql import functions as F
 # Text bytes that one numpy or Arrow step handles at once. A longer single text is a step of its own.
 STEP_BYTES = 2 << 20
 # Rows and bytes of text that Spark hands to Python at once.
-BATCH_ROWS, BATCH_BYTES = "2000", "16m"
+BATCH_ROWS, BATCH_BYTES = "1000", "4m"
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the text column of each piece holds about ``limit`` bytes."""
+def steps(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = STEP_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the text column of each piece holds about ``limit`` bytes.
+
+    What another operator's tasks left in this worker is let go, unless ``keep`` says that this task uses it.
+    """
+    if not keep:
+        held = sys.__dict__.get("_entityflow_held", {})
+        for key in [k for k in held if isinstance(k, tuple)]:
+            del held[key]
     release()
     for batch in batches:
         if batch.num_rows == 0:
@@ -73,7 +80,8 @@ def unit_hash(column: Column, seed: int) -> Column:
 
 
 def per_process(key: object, make):
-    """A value that all tasks of one Python worker share, such as a loaded tokenizer."""
+    """A value that all tasks of one Python worker share. Under a plain name it stays; under a tuple, such as a loaded
+    tokenizer, until an operator without use for it takes the worker."""
     held = sys.__dict__.setdefault("_entityflow_held", {})
     if key not in held:
         held[key] = make()

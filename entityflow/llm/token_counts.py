@@ -184,7 +184,7 @@ class Counter:
 def _count(path: str):
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = per_process(("token counter", path), lambda: Counter(path))
-        for batch in steps(batches):
+        for batch in steps(batches, keep=True):
             size = np.diff(text_bytes(batch.column(1))[1])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(counter.counts(batch.column(1)))],
                                              ["id", "n_bytes", "n_tokens"])

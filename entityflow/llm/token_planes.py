@@ -86,7 +86,7 @@ class Encoder:
     full stops and commas after it, with which it never merges; each distinct part is encoded by the library once and then
     looked up."""
 
-    PARTS = 400_000
+    PARTS = 300_000
     LONGEST = 64
 
     def __init__(self, path: str):
@@ -162,7 +162,7 @@ def _containers(path: str, end_id: int, planes: int):
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(flat)]), *lists, pa.array([pack(flat, planes)], pa.binary())],
                 ["part", "number", "n_ids", "ids", "sizes", "data"])
 
-        for batch in steps(batches):
+        for batch in steps(batches, keep=True):
             out, n = encoder.encode(batch.column(1), end_id)
             ids.append(out), keys.append(batch.column(0)), sizes.append(n)
             if sum(map(len, ids)) >= CONTAINER_IDS:
