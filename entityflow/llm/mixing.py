@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from entityflow.session import settle
 
 BLOCK_DOCS = 256
-SHARD_WORDS = 16_000_000
+SHARD_WORDS = 4_000_000
 # Blocks whose running total one window computes; totals of such spans add up in a second window.
 SPAN_BLOCKS = 4096
 # Hash orders in which the last block's documents are tried.

@@ -86,7 +86,7 @@ class Encoder:
     full stops and commas after it, with which it never merges; each distinct part is encoded by the library once and then
     looked up."""
 
-    PARTS = 300_000
+    PARTS = 200_000
     LONGEST = 64
 
     def __init__(self, path: str):
