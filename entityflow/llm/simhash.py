@@ -80,7 +80,12 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Decisions go by id. An id that is the smallest of any of its classes stays; of the rows that repeat it, one stays.
     Rows with a null id stay, as no decision can name them.
     """
-    found = near_duplicates(docs, id_col, text_col, bits).where("id is not null")
+    return keep_smallest(docs, near_duplicates(docs, id_col, text_col, bits), id_col)
+
+
+def keep_smallest(docs: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``classes``, rows of (id, component), let stay; see ``one_per_class``."""
+    found = classes.where("id is not null")
     by_id = settle(found.groupBy("id").agg(F.max(F.col("id") == F.col("component")).alias("first"), F.count("*").alias("n"))
                    .where("not first or n > 1"), "decisions")
     mine = F.col(f"`{id_col}`")
