@@ -36,7 +36,7 @@ CANDIDATES = {
     "phone": r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9])++",
 }
 # What a text must hold for a pattern to match at all; cheap to test.
-BASE_NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9 -]{12}[0-9]", "phone": r"\+[0-9]"}
+BASE_NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){13}", "phone": r"\+[0-9]"}
 NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9][.,][0-9]", "card": r"[0-9][0-9 ./-]{12}", "phone": r"[0-9][0-9 ().-]{7}"}
 CUES = {"email": "mail|contact|write", "ip": "ip|host|server|addr", "card": "card|visa|pay|account", "phone": "phone|call|tel|mobile|fax"}
 

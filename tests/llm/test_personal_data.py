@@ -108,3 +108,11 @@ def test_redact_and_join(spark):
     r = row.select(pd_.redact(F.col("text"), spans).alias("t"), pd_.join_spans(spans).alias("s"), F.sha2(pd_.join_spans(spans), 256).alias("h")).first()
     assert r.t == "é <email>, <ip>!" and r.s == "email:2:8,ip:10:18"
     assert r.h == hashlib.sha256(r.s.encode()).hexdigest()
+
+
+def test_base_cards_with_every_digit_apart(spark):
+    texts = ["4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "pay 4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1 now", "4 1-1 11 1 1-1 1 1 11 1 1 1", "4 1 1 1 1 1 1  1 1 1 1 1 1 1 1 1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r.i: [tuple(s) for s in r.b] for r in df.select("i", pd_.base_spans(F.col("text")).alias("b")).collect()}
+    assert [got[i] for i in range(len(texts))] == [plain_base(t) for t in texts]
+    assert got[0] == [(0, 2, 31)] and got[1] == [(4, 2, 35)] and got[3] == []
