@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import decontamination, jaccard, mixing, token_planes, toxicity
+from entityflow.llm import decontamination, mixing, simhash, token_planes, toxicity
 from entityflow.llm.queries import END_ID, MIX_CAP, MIX_SHARE, MIX_WEIGHTS, table, toxicity_model
 from entityflow.session import work_path
 
@@ -17,8 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, five-word Jaccard 0.8 or more, stays: the one with the smallest id."""
-    return jaccard.one_per_class(docs)
+    """One document of each group of near duplicates stays, the one with the smallest id: four-word shingles, at most 4 differing bits."""
+    return simhash.one_per_class(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
