@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, decontamination, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, fill_in_middle, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -165,3 +165,34 @@ def op5_personal_data(spark, sf_dir):
     counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(personal_data.join_spans(F.col("base")), 256).alias("base_sha256"),
                         personal_data.join_spans(F.col("spans")).alias("spans"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    """All documents rearranged for infilling, and the texts rebuilt from that."""
+    found = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+h AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(hex, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hex, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(hex, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hex, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+    array_to_string(units[high + 1:], '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p"""
