@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, decontamination, fill_in_middle, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, fill_in_middle, filter_audit, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -196,3 +196,38 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
     WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
   sha256(text) AS restored_sha256
 FROM p"""
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    """What each of five filters removes from each source in every order."""
+    rows = filter_audit.audit_rows(table(spark, sf_dir, "documents"))
+    return filter_audit.interactions(filter_audit.mask_counts(rows, table(spark, sf_dir, "labels")))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (
+  SELECT part, doc_id, (len(words) < 50)::INT AS a, (100 * len(list_distinct(words)) < 65 * len(words))::INT AS b,
+    (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT AS c, regexp_matches(text, '[#$%&*|]')::INT AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS e FROM d),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN known USING (doc_id) GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT v.l || w.l || x.l || y.l || z.l AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits FROM l v, l w, l x, l y, l z
+  WHERE v.bit | w.bit | x.bit | y.bit | z.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+seen AS (SELECT *, (mask & bit) <> 0 AS fails, (mask & before) <> 0 AS gone FROM counts, steps)
+SELECT part, filter_order, step, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(sum(n) FILTER (fails AND NOT gone)) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM seen GROUP BY part, filter_order, step, bit"""
