@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityflow.llm import chat, decontamination, fill_in_middle, filter_audit, inner_products, language_id, mixing, personal_data, simhash, token_counts, token_planes, toxicity
+from entityflow.llm import chat, decontamination, fill_in_middle, filter_audit, inner_products, language_id, license_scan, mixing, personal_data, simhash, token_counts, token_planes, toxicity
 from entityflow.llm.common import crc_mod
 from entityflow.session import work_path
 
@@ -231,3 +231,48 @@ SELECT part, filter_order, step, coalesce(sum(n) FILTER (NOT fails AND NOT gone)
   coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost,
   coalesce(sum(sum(n) FILTER (fails AND NOT gone)) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
 FROM seen GROUP BY part, filter_order, step, bit"""
+
+
+@query
+def op11_license_scan(spark, sf_dir):
+    """License phrases and notices in all documents."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["exact"])
+    places = F.transform(base, lambda m: m["word"])
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    score = F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(places).alias("first_word"),
+                        F.array_max(places).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"), score.alias("score"))
+
+
+def _license_rows() -> str:
+    rows = [(label, license_scan.words_of(text), exact) for exact, group in ((False, license_scan.TEMPLATES), (True, license_scan.PHRASES)) for label, text in group]
+    share = license_scan.CONTAINMENT
+    return ", ".join(f"({k}, '{label}', {words}, {exact}, {1.0 if exact else share}, {license_scan.size_class(len(words))})" for k, (label, words, exact) in enumerate(rows))
+
+
+ORACLES["op11_license_scan"] = rf"""
+WITH t(k, label, words, exact, share, stride) AS (VALUES {_license_rows()}),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+token AS (SELECT k, unnest(list_distinct(words)) AS word, len(list_distinct(words)) AS tokens, stride, share FROM t),
+placed AS (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM d),
+hits AS (SELECT row, k, word, tokens, share, place // stride AS block FROM placed JOIN token USING (word)),
+blocks AS (SELECT * FROM hits UNION ALL SELECT row, k, word, tokens, share, block - 1 FROM hits WHERE block > 0),
+near AS (
+  SELECT row, k, count(DISTINCT word) / any_value(tokens) AS containment FROM blocks GROUP BY row, k, block
+  HAVING count(DISTINCT word) >= ceil(any_value(share) * any_value(tokens))),
+places AS (
+  SELECT row, label, place FROM placed JOIN t ON exact AND placed.word = t.words[1] JOIN d USING (row)
+  WHERE d.words[place + 1:place + len(t.words)] = t.words),
+found AS (
+  SELECT row, label, NULL AS place, containment FROM near JOIN t USING (k) WHERE NOT exact
+  UNION ALL SELECT row, label, place, 1.0 FROM places)
+SELECT doc_id, len(any_value(words)) AS n_words, count(place) AS n_base, min(place) AS first_word, max(place) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place IS NOT NULL), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(containment), 0.0)::DOUBLE AS score
+FROM d LEFT JOIN found USING (row) GROUP BY row, doc_id"""
