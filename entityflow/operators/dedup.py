@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from entityflow.schemas import PAGE_CAP, PAGE_SIZE
 from entityflow.session import settle
@@ -152,64 +157,175 @@ def unseen(new: DataFrame, seen: DataFrame, key: str = "url_key") -> DataFrame:
 
 # --- exact time-to-live dedup ---------------------------------------------------
 #
-# A time at least one TTL after the one before it is always accepted: it starts an island. From an accepted time t, the
-# next accepted one is the first time at or after t + TTL. So the accepted times are those that these links reach from
-# the islands' starts, and links of doubled length find them in a logarithmic number of steps.
+# What one stretch of a key's timeline accepts depends on the rest through a single number: the time from which on the key is
+# open again. So a stretch is a map from the open time at its start to the open time at its end. Each task makes these maps
+# for its stretches on its own; they compose along the timeline; then each stretch marks its accepted times on its own.
 
-SLOTS = 1024  # slots per TTL; a slot of one key is the largest piece that one task puts in order
-NARROWING = 2  # rounds that leave out times which no link leads to
+CHUNK_TIMES = 1 << 15  # times of one stretch
 
 
-def _links(times: DataFrame, key: str, ttl_us: int, slots: int) -> DataFrame:
-    """(key, us, next): the first time of the key at or after us + TTL; null where there is none.
+def jump_map(times: np.ndarray, ttl_us: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """(upto, opens): a key open from at most upto[i] (and after upto[i-1]) is open from opens[i] on, after the sorted ``times``.
 
-    A probe at us + TTL looks for the first time after it within its own slot, else for the first time of the next slot
-    that has any. Slots of a key are ordered among themselves by one narrow row each.
+    Only open times that an earlier accepted time can leave count; they are less than a TTL after the first time. A key that
+    is open later than all of ``upto`` stays as it is. Without ``opens``, each is its upto plus the TTL.
     """
-    width = max(1, ttl_us // slots)
-    slot = lambda c: F.floor(c / width).cast("bigint")
-    points = times.select(key, F.col("us").alias("at"), F.lit(None).cast("bigint").alias("us"))
-    probes = times.select(key, (F.col("us") + ttl_us).alias("at"), "us")
-    both = points.unionByName(probes).withColumn("slot", slot(F.col("at")))
-    point = F.when(F.col("us").isNull(), F.col("at"))
-    within = Window.partitionBy(key, "slot").orderBy("at", F.col("us").desc_nulls_last()).rowsBetween(0, Window.unboundedFollowing)
-    found = both.withColumn("next", F.min(point).over(within)).filter(F.col("us").isNotNull())
-    later = Window.partitionBy(key).orderBy("slot").rowsBetween(1, Window.unboundedFollowing)
-    firsts = both.groupBy(key, "slot").agg(F.min(point).alias("first")).withColumn("later", F.min("first").over(later))
-    return found.join(firsts.select(key, "slot", "later"), [key, "slot"]).select(key, "us", F.coalesce("next", "later").alias("next"))
-
-
-def ttl_dedup(df: DataFrame, key: str, ts: str, ttl_hours: int = 24, slots: int = SLOTS) -> DataFrame:
+    n = len(times)
+    after = np.searchsorted(times, times + ttl_us)
+    jump = np.where(after < n, after, np.arange(n))
+    while True:
+        further = jump[jump]
+        if (further == jump).all():
+            break
+        jump = further
+    reach = min(n, int(np.searchsorted(times, times[0] + ttl_us - 1)) + 1)
+    last = jump[:reach]
+    ends = np.flatnonzero(np.r_[last[1:] != last[:-1], True])
+    if (last[ends] == ends).all():
+        return times[ends], None
+    return times[ends], times[last[ends]] + ttl_us
+
+
+def accepted_times(times: np.ndarray, open_at: int, ttl_us: int) -> list[int]:
+    """The accepted ones of sorted times of a key that is open from ``open_at`` on."""
+    ordered, out = times.tolist(), []
+    at = bisect_left(ordered, open_at)
+    while at < len(ordered):
+        out.append(ordered[at])
+        at = bisect_left(ordered, ordered[at] + ttl_us, at)
+    return out
+
+
+def _accepted_of_runs(times: np.ndarray, starts: np.ndarray, ttl_us: int) -> np.ndarray:
+    """Which times are accepted; each run from one start to the next is the whole timeline of a key."""
+    fresh = np.ones(len(times), bool)
+    fresh[1:] = np.diff(times) >= ttl_us
+    fresh[starts] = True
+    # A time one TTL after the one before it starts an island. Islands shorter than a TTL accept only their first time.
+    heads = np.flatnonzero(fresh)
+    tails = np.r_[heads[1:], len(times)]
+    for a, b in zip(*(x[times[tails - 1] - times[heads] >= ttl_us].tolist() for x in (heads, tails))):
+        ordered = times[a:b].tolist()
+        at = bisect_left(ordered, ordered[0] + ttl_us)
+        while at < len(ordered):
+            fresh[a + at] = True
+            at = bisect_left(ordered, ordered[at] + ttl_us, at)
+    return fresh
+
+
+def _chunks(ttl_us: int, chunk_times: int, key_type: pa.DataType):
+    """Sorted (key, us) rows of a task -> its keys' accepted times, or stretches with jump maps for keys that may go on elsewhere."""
+    lists = pa.list_(pa.int64())
+    schema = pa.schema([("key", key_type), ("first", pa.int64()), ("open", pa.bool_()), ("times", lists), ("upto", lists), ("opens", lists)])
+
+    def stretch(key: pa.Scalar, times: np.ndarray) -> pa.RecordBatch:
+        upto, opens = jump_map(times, ttl_us)
+        columns = [pa.array([key.as_py()], key_type), pa.array([int(times[0])]), pa.array([True]), pa.array([times], lists), pa.array([upto], lists), pa.array([opens], lists)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def whole(keys: pa.Array, times: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        fresh = _accepted_of_runs(times, starts, ttl_us)
+        ends = np.r_[0, np.cumsum(np.add.reduceat(fresh, starts))].astype(np.int32)
+        found = pa.ListArray.from_arrays(pa.array(ends), pa.array(times[fresh]))
+        none = pa.nulls(len(starts), lists)
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(starts)), pa.array(times[starts]), pa.array(np.zeros(len(starts), bool)), found, none, none], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, apart = None, [], True  # the run that the last batch ended with; apart: it is one of the task's first or was cut
+
+        def cut(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            times = np.concatenate(held) if held else np.zeros(0, np.int64)
+            while len(times) >= least:
+                yield stretch(key, times[:chunk_times])
+                times = times[chunk_times:]
+            held = [times] if len(times) else []
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, times = batch.column(0).cast(key_type), np.asarray(batch.column(1))
+            starts = np.r_[0, np.flatnonzero(np.asarray(pc.not_equal(keys[1:], keys[:-1]))) + 1]
+            goes_on = key is not None and keys[0] == key
+            if key is not None and not goes_on:
+                if apart:
+                    yield from cut(1)
+                else:
+                    yield whole(pa.array([key.as_py()], key_type), np.concatenate(held), np.zeros(1, np.int64))
+                held = []
+            if goes_on or key is None:  # the first run of this batch is not a whole timeline
+                end = int(starts[1]) if len(starts) > 1 else len(times)
+                held.append(times[:end])
+                key, apart = keys[0], apart or not goes_on
+                if len(starts) == 1:
+                    if sum(map(len, held)) >= 2 * chunk_times:
+                        apart = True
+                        yield from cut(chunk_times)
+                    continue
+                if apart:
+                    yield from cut(1)
+                else:
+                    yield whole(pa.array([key.as_py()], key_type), np.concatenate(held), np.zeros(1, np.int64))
+                held, starts = [], starts[1:]
+            if len(starts) > 1:
+                a, b = int(starts[0]), int(starts[-1])
+                yield whole(keys[a:b], times[a:b], starts[:-1] - a)
+            key, held, apart = keys[int(starts[-1])], [times[int(starts[-1]):]], False
+        if key is not None:  # the last run may go on in the next task
+            yield from cut(1)
+
+    return run
+
+
+def _open_times(key_type: pa.DataType):
+    """Stretches of keys in order -> the open time at the start of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, open_at = None, 0
+        for batch in batches:
+            found = []
+            for key, upto, opens, ttl_us in zip(*(batch.column(c) for c in ("key", "upto", "opens", "ttl_us"))):
+                if last is None or key != last:
+                    last, open_at = key, np.iinfo(np.int64).min
+                found.append(int(open_at))
+                upto_values = upto.values.to_numpy(zero_copy_only=False)
+                at = int(np.searchsorted(upto_values, open_at))
+                if at < len(upto_values):
+                    open_at = upto_values[at] + ttl_us.as_py() if not opens.is_valid else opens.values[at].as_py()
+            yield pa.RecordBatch.from_arrays([batch.column("key").cast(key_type), batch.column("first"), pa.array(found, pa.int64())], ["key", "first", "open_at"])
+
+    return run
+
+
+def _marked(ttl_us: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [accepted_times(t.values.to_numpy(zero_copy_only=False), e.as_py(), ttl_us) for t, e in zip(batch.column("times"), batch.column("open_at"))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(pa.int64()))], ["key", "times"])
+
+    return run
+
+
+def ttl_dedup(df: DataFrame, key: str, ts: str, ttl_hours: int = 24, chunk_times: int = CHUNK_TIMES) -> DataFrame:
     """Accepted (key, time) pairs: a repeat within the TTL of the last accepted row is a no-op.
 
-    A repeat does not extend the TTL; a row exactly one TTL later is accepted. Rows without a key or time drop. Times are
-    first reduced to distinct (key, time) pairs. The number of jobs grows with the logarithm of the longest run of accepted
-    times, not with the time span or the number of rows, and no key is ever gathered in one task or row.
+    A repeat does not extend the TTL; a row exactly one TTL later is accepted. Rows without a key or time drop. Times are first
+    reduced to distinct (key, time) pairs and put in order across tasks, so a hot key is spread over many. A task decides the
+    keys that lie wholly inside it. Of a key that may go on in another task, it makes stretches of at most ``chunk_times`` times
+    with their jump maps. Only the maps, a row per stretch, are then read in order, one at a time; where a TTL holds
+    few times they are far smaller than the times. The number of jobs is constant.
     """
     ttl_us = int(ttl_hours) * 3_600 * 1_000_000
-    stamped = df.select(F.col(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).filter(
-        F.col(key).isNotNull() & F.col("us").isNotNull()
-    )
+    stamped = df.select(F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).filter("key is not null and us is not null")
     times = settle(stamped.distinct(), "ttl-times")
-    # The time before: in the same slot, else the last one of the slot before that has any.
-    slotted = times.withColumn("slot", F.floor(F.col("us") / max(1, ttl_us // slots)))
-    in_slot, by_slot = Window.partitionBy(key, "slot").orderBy("us"), Window.partitionBy(key).orderBy("slot")
-    lasts = slotted.groupBy(key, "slot").agg(F.max("us").alias("last")).withColumn("last", F.lag("last").over(by_slot))
-    before = slotted.withColumn("before", F.lag("us").over(in_slot)).join(lasts, [key, "slot"])
-    before = before.withColumn("before", F.coalesce("before", "last"))
-    starts = settle(before.filter(F.col("before").isNull() | (F.col("us") - F.col("before") >= ttl_us)).select(key, "us"), "ttl-starts")
-    links = settle(_links(times, key, ttl_us, slots).filter(F.col("next").isNotNull()), "ttl-links")
-    for _ in range(NARROWING):
-        # Only starts and what links lead to can be accepted.
-        kept = starts.unionByName(links.select(key, F.col("next").alias("us"))).distinct()
-        links = settle(links.join(kept, [key, "us"], "left_semi"), "ttl-links")
-    reached, size = starts, starts.count()
-    while True:
-        step = reached.join(links, [key, "us"]).select(key, F.col("next").alias("us"))
-        reached = settle(reached.unionByName(step).distinct(), "ttl-reached")
-        size, before_size = reached.count(), size
-        if size == before_size:
-            break
-        hop = links.select(key, F.col("us").alias("next"), F.col("next").alias("then"))
-        links = settle(links.join(hop, [key, "next"]).select(key, "us", F.col("then").alias("next")), "ttl-links")
-    return reached.select(key, F.timestamp_micros("us").alias(ts))
+    kind = times.schema["key"].dataType
+    arrow_kind, name = to_arrow_type(kind), kind.simpleString()
+    in_order = times.repartitionByRange("key", "us").sortWithinPartitions("key", "us")
+    columns = f"key {name}, first long, open boolean, times array<long>, upto array<long>, opens array<long>"
+    chunks = settle(in_order.mapInArrow(_chunks(ttl_us, chunk_times, arrow_kind), columns), "ttl-chunks", batch_rows=CHUNK_TIMES)
+    stretches = chunks.filter("open")
+    maps = stretches.select("key", "first", "upto", "opens", F.lit(ttl_us).alias("ttl_us")).repartition("key").sortWithinPartitions("key", "first")
+    opened = settle(maps.mapInArrow(_open_times(arrow_kind), f"key {name}, first long, open_at long"), "ttl-open-times", batch_rows=64)
+    marked = stretches.select("key", "first", "times").join(opened, ["key", "first"]).mapInArrow(_marked(ttl_us), f"key {name}, times array<long>")
+    accepted = chunks.filter("not open").select("key", "times").unionByName(marked)
+    return accepted.select(F.col("key").alias(key), F.explode("times").alias("us")).select(key, F.timestamp_micros("us").alias(ts))

@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # Runtime SQL settings. They never override cluster sizing (executors, memory,
 # shuffle partitions): those belong to whoever submits the job.
 RUNTIME_CONF = {
@@ -23,7 +25,7 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "2000",
     # Rows handed to a Python function at once. A page body may be megabytes
     # long, so the usual 10,000 rows per batch could be tens of gigabytes.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    BATCH_ROWS: "256",
 }
 
 
@@ -93,14 +95,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """Write a result once to the shared folder and continue from the written table.
 
     For results that several later steps read, or whose true size should
     decide a join: the written table has exact statistics, so it is broadcast
     when it is small and shuffled when it is not. It also survives the loss
-    of executors without recomputing what led to it.
+    of executors without recomputing what led to it. ``batch_rows`` sets how
+    many rows Arrow functions get at once, for this write alone.
     """
-    place = work_path(df.sparkSession, label)
-    df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    spark, place = df.sparkSession, work_path(df.sparkSession, label)
+    if batch_rows is None:
+        df.write.parquet(place)
+    else:
+        before = spark.conf.get(BATCH_ROWS)
+        spark.conf.set(BATCH_ROWS, str(batch_rows))
+        try:
+            df.write.parquet(place)
+        finally:
+            spark.conf.set(BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(place)

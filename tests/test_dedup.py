@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,29 +94,59 @@ def greedy(times, ttl):
     return out
 
 
-@pytest.mark.parametrize("slots", [1024, 20, 1])
-def test_ttl_dedup(spark, slots):
+@pytest.mark.parametrize("chunk_times", [dedup.CHUNK_TIMES, 7, 1])
+@pytest.mark.parametrize("tasks", [1, 6])
+def test_ttl_dedup(spark, chunk_times, tasks):
     rng = random.Random(9)
     start = datetime(2024, 1, 1)
     # Key "hot" holds most of the rows.
     data = [("hot" if rng.random() < 0.6 else f"k{rng.randint(0, 20)}", start + timedelta(minutes=rng.randint(0, 20_000))) for _ in range(600)]
-    data += [("edge", start + timedelta(hours=h)) for h in (0, 1, 20, 24, 31, 62, 48)] + [(None, start)]
+    data += [("edge", start + timedelta(hours=h)) for h in (0, 1, 20, 24, 31, 62, 48)] + [(None, start), ("hot", None)]
+    data += [("grid", start + timedelta(hours=h)) for h in range(300)] + [("dense", start + timedelta(seconds=s)) for s in range(300)]
     df = spark.createDataFrame(data, "k string, ts timestamp")
-    got = {(r["k"], r["ts"]) for r in dedup.ttl_dedup(df, "k", "ts", 24, slots=slots).collect()}
-    want = {(k, t) for k in {d[0] for d in data if d[0]} for t in greedy([d[1] for d in data if d[0] == k], timedelta(hours=24))}
-    assert got == want
-
-
-def test_ttl_jobs_do_not_follow_the_time_span(spark):
-    """A chain of 500 accepted times takes a logarithmic number of jobs."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(tasks == 1).lower())
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        got = [(r["k"], r["ts"]) for r in dedup.ttl_dedup(df, "k", "ts", 24, chunk_times=chunk_times).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = {(k, t) for k in {d[0] for d in data if d[0]} for t in greedy([d[1] for d in data if d[0] == k and d[1]], timedelta(hours=24))}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_jump_maps_compose():
+    """Maps of stretches, one after the other, leave the same open time as the walk over all times."""
+    rng = random.Random(4)
+    for _ in range(400):
+        ttl = rng.choice([1, 5, 40, 300])
+        times = np.array(sorted(rng.sample(range(1, 2000), rng.randint(1, 120))))
+        cuts = sorted(rng.sample(range(1, len(times) + 1), rng.randint(0, min(5, len(times)))))
+        open_at, found = -10**9, []
+        for part in np.split(times, cuts):
+            if not len(part):
+                continue
+            found += dedup.accepted_times(part, open_at, ttl)
+            upto, opens = dedup.jump_map(part, ttl)
+            at = int(np.searchsorted(upto, open_at))
+            if at < len(upto):
+                open_at = int(upto[at] + ttl if opens is None else opens[at])
+            assert len(upto) <= int((part < part[0] + ttl).sum()) + 1
+        assert found == greedy(times.tolist(), ttl) and open_at == found[-1] + ttl
+
+
+def test_ttl_jobs_do_not_follow_the_data(spark):
+    """Short and long chains, few and many keys: the same number of jobs."""
     start = datetime(2020, 1, 1)
-    df = spark.createDataFrame([("a", start + timedelta(hours=20 * i)) for i in range(800)], "k string, ts timestamp")
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("ttl", "ttl")
-    got = sorted(r["ts"] for r in dedup.ttl_dedup(df, "k", "ts", 24).collect())
-    assert got == greedy([start + timedelta(hours=20 * i) for i in range(800)], timedelta(hours=24))
-    assert len(tracker.getJobIdsForGroup("ttl")) < 120
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker, seen = spark.sparkContext.statusTracker(), []
+    for n, keys in ((20, 1), (3000, 1), (3000, 500)):
+        df = spark.createDataFrame([(f"a{i % keys}", start + timedelta(hours=20 * i)) for i in range(n)], "k string, ts timestamp")
+        spark.sparkContext.setJobGroup(f"ttl-{n}-{keys}", "ttl")
+        got = [(r["k"], r["ts"]) for r in dedup.ttl_dedup(df, "k", "ts", 24, chunk_times=50).collect()]
+        seen.append(len(tracker.getJobIdsForGroup(f"ttl-{n}-{keys}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(got) == sorted((f"a{k}", t) for k in range(keys) for t in greedy([start + timedelta(hours=20 * i) for i in range(k, n, keys)], timedelta(hours=24)))
+    assert max(seen) <= min(seen) + 4 and max(seen) < 25
 
 
 def test_ttl_example(spark):
