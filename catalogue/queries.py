@@ -720,7 +720,12 @@ def fresh_stream(spark, sf):
 
 @query
 def ttl_dedup_stream(spark, sf):
-    got = drained(spark, feeds.ttl_dedup_stream(event_stream(spark, sf), "user_id"), "ttl-stream")
+    events = event_stream(spark, sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    # The last row has no key and is later than all others: it closes the stream.
+    place, last = work_path(spark, "closing-row"), table(spark, sf, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("ts"))
+    last.select(F.lit(None).cast(events.schema["user_id"].dataType).alias("user_id"), (F.col("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts")).write.parquet(place)
+    closing = spark.readStream.schema(events.schema).parquet(place)
+    got = drained(spark, feeds.ttl_dedup_stream(events.unionByName(closing), "user_id"), "ttl-stream")
     return got.select("user_id", F.unix_micros("ts").alias("ts_us"))
 
 

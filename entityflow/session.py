@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     # Rows handed to a Python function at once. A page body may be megabytes
     # long, so the usual 10,000 rows per batch could be tens of gigabytes.
     BATCH_ROWS: "256",
+    # Map states and timers of the exact TTL stream.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from entityflow.functions.times import as_instant, fresh_range
-from entityflow.operators.dedup import unseen
+from entityflow.operators.dedup import accepted_times, unseen
 from entityflow.schemas import FRESHNESS_HOURS
 from entityflow.session import path_exists
 
@@ -35,59 +35,91 @@ def dedup_stream(stream: DataFrame, key: str, ts: str = "ts", ttl_hours: int = 2
     return timed.dropDuplicatesWithinWatermark([key])
 
 
-def ttl_dedup_stream(stream: DataFrame, key: str, ts: str = "ts", ttl_hours: int = 24) -> DataFrame:
+GROUP, KEYLESS = "__group", ""
+
+
+class TtlProcessor(StatefulProcessor):
+    """State of a key: from when on it is open again, and the times that wait for the watermark, in order. One read and one write
+    of it per key and micro-batch; a timer at the first waiting time."""
+
+    def __init__(self, ts: str, ttl_us: int):
+        self.ts, self.ttl_us = ts, ttl_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("ttl", "open_at bigint, waiting binary")
+
+    def held(self) -> tuple[int, np.ndarray]:
+        state = self.state.get()
+        return (np.iinfo(np.int64).min, np.empty(0, np.int64)) if state is None else (state[0], np.frombuffer(state[1], np.int64))
+
+    def hold(self, open_at: int, waiting: np.ndarray) -> None:
+        self.state.update((open_at, waiting.tobytes()))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from ()  # arriving rows only wait
+        if key[0] == KEYLESS:
+            return
+        open_at, waiting = self.held()
+        parts = [waiting]
+        for chunk in rows:
+            times = chunk[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
+            # Up to its open time a key is settled: what comes before that repeats an accepted row.
+            parts.append(np.unique(times[times >= open_at]))
+        together = np.unique(np.concatenate(parts))
+        if len(together) == len(waiting):
+            return
+        self.hold(open_at, together)
+        if not len(waiting) or together[0] < waiting[0]:
+            self.handle.registerTimer(int(together[0]) // 1_000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """No row can come any more for times up to the watermark: they are decided in order."""
+        passed = timerValues.getCurrentWatermarkInMs() * 1_000
+        open_at, waiting = self.held()
+        due = int(np.searchsorted(waiting, passed, "right"))
+        kept = accepted_times(waiting[:due], open_at, self.ttl_us)
+        open_at, waiting = kept[-1] + self.ttl_us if kept else open_at, waiting[due:]
+        if len(waiting):
+            self.handle.registerTimer(int(waiting[0]) // 1_000 + 1)
+        elif open_at > passed:  # looks again when the key is open, so that an idle key leaves the store
+            self.handle.registerTimer(-(-open_at // 1_000))
+        if len(waiting) or open_at > passed:
+            if due:
+                self.hold(open_at, waiting)
+        else:
+            self.state.clear()
+        if kept:
+            yield pd.DataFrame({GROUP: pd.Series([key[0]] * len(kept), dtype=object), self.ts: pd.to_datetime(kept, unit="us")})
+
+    def close(self) -> None:
+        pass
+
+
+def ttl_dedup_stream(stream: DataFrame, key: str, ts: str = "ts", ttl_hours: int = 24, lateness_hours: int = 24) -> DataFrame:
     """Accepted (key, time) pairs, exact: a repeat within the TTL of the last accepted row is a no-op.
 
-    The state of a key is one timestamp. It expires once the watermark is past
-    its TTL, so idle keys leave the store. Rows are expected in time order
-    between micro-batches, the order of arrival; inside a batch they are
-    sorted. Only (key, time) travel to the stateful step, repeats at the same
-    instant are dropped on the map side, and rows the stored time already
-    covers are dropped while a key's chunks stream in. Bound a batch with
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` on the source.
+    Rows may arrive in any order, up to ``lateness_hours`` behind the newest one; what is older has missed its turn. A time
+    waits until the watermark has passed it and is then decided in time order, as ``ttl_dedup`` does, so the result is the
+    same however the rows are dealt to micro-batches. The state of a key is the time it is open again and its waiting times,
+    8 bytes each; an idle key leaves the store. Only (key, time) travel to the stateful step; repeats at the same instant and
+    times before a settled open time aren't kept. Rows without a time drop; a row without a key is never a result but moves
+    the watermark, so one of them, later than the last row by more than the lateness, closes a stream that ends. State is held in RocksDB (``session.configure``). Bound a batch with ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger`` on the source.
     """
     ttl_us = int(ttl_hours) * 3_600 * 1_000_000
-    key_type = stream.schema[key].dataType.simpleString()
-    pairs = stream.select(F.col(key), F.col(ts).cast("timestamp").alias(ts)).filter(
-        F.col(key).isNotNull() & F.col(ts).isNotNull()
-    )
+    # Keys travel as text, as pandas would turn whole numbers beside a null into floats.
+    group = F.when(F.col(key).isNull(), KEYLESS).otherwise(F.concat(F.lit("="), F.col(key).cast("string"))).alias(GROUP)
+    pairs = stream.select(group, F.col(ts).cast("timestamp").alias(ts)).filter(F.col(ts).isNotNull())
 
     def distinct_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.drop_duplicates()
+            keyless = batch[GROUP] == KEYLESS
+            yield pd.concat([batch[~keyless].drop_duplicates(), batch[keyless].nlargest(1, ts)])
 
-    def accept(keys, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        times = np.empty(0, dtype=np.int64)
-        for chunk in chunks:
-            fresh = chunk[ts].astype("datetime64[us]").astype("int64").to_numpy()
-            if last is not None:
-                fresh = fresh[fresh >= last + ttl_us]
-            times = np.union1d(times, fresh)
-        kept = []
-        at = 0
-        while at < len(times):
-            last = int(times[at])
-            kept.append(last)
-            at = int(np.searchsorted(times, last + ttl_us))
-        if last is not None:
-            state.update((last,))
-            watermark = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(last // 1000 + ttl_us // 1000, watermark + 1))
-        if kept:
-            yield pd.DataFrame({key: [keys[0]] * len(kept), ts: pd.to_datetime(kept, unit="us")})
-
-    thinned = pairs.mapInPandas(distinct_in_batch, pairs.schema).withWatermark(ts, f"{int(ttl_hours)} hours")
-    return thinned.groupBy(key).applyInPandasWithState(
-        accept,
-        f"{key} {key_type}, {ts} timestamp",
-        "last bigint",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    thinned = pairs.mapInPandas(distinct_in_batch, pairs.schema).withWatermark(ts, f"{int(lateness_hours)} hours")
+    accepted = thinned.groupBy(GROUP).transformWithStateInPandas(TtlProcessor(ts, ttl_us), f"{GROUP} string, {ts} timestamp", "Append", "EventTime")
+    return accepted.select(F.substring(GROUP, 2, 1 << 30).cast(stream.schema[key].dataType).alias(key), ts)
 
 
 def unseen_stream(

@@ -28,20 +28,45 @@ def drain(spark, df, tmp_path, name):
     return spark.read.schema(df.schema).parquet(str(tmp_path / name))
 
 
-def test_ttl_stream_equals_batch(spark, tmp_path):
+CLOSING = [(None, START + timedelta(days=400))]
+
+
+@pytest.mark.parametrize("order", ["in order", "shuffled", "backwards"])
+def test_ttl_stream_equals_batch(spark, tmp_path, order):
+    """However the rows are dealt to micro-batches, the accepted times are those of the batch twin."""
     rng = random.Random(2)
-    rows = sorted(((("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 6)}"), START + timedelta(minutes=rng.randint(0, 9000))) for _ in range(400)), key=lambda r: r[1])
-    rows += [("edge", START + timedelta(hours=h)) for h in (150, 151, 170, 174)]
-    rows.sort(key=lambda r: r[1])
-    write_batches(spark, tmp_path / "in", [rows[i : i + 120] for i in range(0, len(rows), 120)])
-    got = drain(spark, feeds.ttl_dedup_stream(stream(spark, tmp_path / "in"), "k"), tmp_path, "ttl")
+    rows = [(("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 6)}"), START + timedelta(minutes=rng.randint(0, 9000))) for _ in range(400)]
+    rows += [("edge", START + timedelta(hours=h)) for h in (150, 151, 170, 174)] + [(None, START + timedelta(hours=3)), ("k1", None)]
+    rows.sort(key=lambda r: r[1] or START)
+    if order == "backwards":
+        rows.reverse()
+    if order == "shuffled":
+        rng.shuffle(rows)
+    write_batches(spark, tmp_path / "in", [*(rows[i : i + 120] for i in range(0, len(rows), 120)), CLOSING])
+    found = feeds.ttl_dedup_stream(stream(spark, tmp_path / "in"), "k", lateness_hours=24 if order == "in order" else 200)
+    got = drain(spark, found, tmp_path, "ttl")
     want = ttl_dedup(spark.createDataFrame(rows, SCHEMA), "k", "ts")
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
 
 
+def test_ttl_stream_late_rows(spark, tmp_path):
+    """A late row within the lateness takes its place in time, and moves the ones after it; an older one has missed its turn."""
+    at = lambda *hours: [("a", START + timedelta(hours=h)) for h in hours]
+    write_batches(spark, tmp_path / "in", [at(40, 64), at(30), at(53, 90), at(1, 70) + [("b", START + timedelta(hours=2))], at(200), at(100), CLOSING])
+    got = drain(spark, feeds.ttl_dedup_stream(stream(spark, tmp_path / "in"), "k", lateness_hours=36), tmp_path, "ttl")
+    # 30 came in time, so 40 and 53 repeat it and 64 is accepted; 1 and 100 came too late, as did b.
+    assert sorted(tuple(r) for r in got.collect()) == [("a", START + timedelta(hours=h)) for h in (30, 64, 90, 200)]
+
+
+def test_ttl_stream_waits_for_the_watermark(spark, tmp_path):
+    write_batches(spark, tmp_path / "in", [[("a", START)], [("b", START + timedelta(hours=30))]])
+    got = drain(spark, feeds.ttl_dedup_stream(stream(spark, tmp_path / "in"), "k"), tmp_path, "ttl")
+    assert [tuple(r) for r in got.collect()] == [("a", START)]
+
+
 def test_ttl_stream_example(spark, tmp_path):
     hours = [0, 1, 20, 31, 62]
-    write_batches(spark, tmp_path / "in", [[("a", START + timedelta(hours=h))] for h in hours])
+    write_batches(spark, tmp_path / "in", [*([("a", START + timedelta(hours=h))] for h in hours), CLOSING])
     got = drain(spark, feeds.ttl_dedup_stream(stream(spark, tmp_path / "in"), "k"), tmp_path, "ttl")
     assert sorted(r["ts"] for r in got.collect()) == [START + timedelta(hours=h) for h in (0, 31, 62)]
 
@@ -78,7 +103,7 @@ def test_unseen_stream_and_rerun(spark, tmp_path):
 
 
 def test_state_column_types(spark, tmp_path):
-    numeric = spark.createDataFrame([(7, START), (7, START)], "k bigint, ts timestamp")
+    numeric = spark.createDataFrame([(7, START), (7, START), (None, START + timedelta(days=9))], "k bigint, ts timestamp")
     numeric.coalesce(1).write.parquet(str(tmp_path / "in"))
     arriving = spark.readStream.schema(numeric.schema).parquet(str(tmp_path / "in"))
     got = drain(spark, feeds.ttl_dedup_stream(arriving, "k"), tmp_path, "n")
