@@ -81,29 +81,49 @@ def unpack(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
     return np.concatenate(ids)[start - first:stop - first]
 
 
+# Letters that stay letters, one for one, when they are composed and put in lower case.
+SAFE = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF"
+# A word of such letters with full stops and commas behind it.
+SAFE_WORD = f"^[{SAFE}]+[.,]*$"
+
+
 class Encoder:
-    """Ids of whole text columns. Texts are cut at ASCII separators, which no token crosses, and a run of letters from the
-    full stops and commas after it, with which it never merges; each distinct part is encoded by the library once and then
-    looked up."""
+    """Ids of whole text columns. Texts are cut at ASCII separators, which no token crosses; each distinct word is encoded by the
+    library once and then looked up. Words of SAFE letters are read in lower case, as the tokenizer does, apart from the full
+    stops and commas behind them, with which they never merge; all others as they are written."""
 
-    PARTS = 200_000
+    PARTS = 400_000
     LONGEST = 64
+    TOGETHER = 256  # words that the library encodes as one text
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
+        ends = {i for token, i in self.library.get_vocab().items() if token.endswith("</w>")}
+        self.ends = np.isin(np.arange(self.library.get_vocab_size()), list(ends))
         self.reset()
 
     def reset(self):
         self.place: dict[str, int] = {"": 0}
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def places(self, parts: list[str]) -> np.ndarray:
+    def coded(self, parts: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the parts, and their number per part; ``words`` are runs of letters in lower case."""
+        if words:
+            # One text for many words: each ends with the only token that says so.
+            texts = [" ".join(parts[k:k + self.TOGETHER]) for k in range(0, len(parts), self.TOGETHER)]
+            flat = np.fromiter(chain.from_iterable(e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
+            ends = np.flatnonzero(self.ends[flat]) + 1
+            if len(ends) == len(parts) and ends[-1] == len(flat):
+                return flat, np.diff(ends, prepend=0)
+        found = [e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def places(self, parts: list[str], words: bool = False) -> np.ndarray:
         """Where each part's ids are; new parts are encoded first."""
         new = [p for p in parts if p not in self.place]
         if new:
-            coded = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum()))
+            flat, sizes = self.coded(new, words)
             self.place.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
@@ -121,28 +141,40 @@ class Encoder:
         words = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.string()), ""))
         bounds = np.asarray(words.offsets, np.int64)
         coded = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-        core = pc.utf8_rtrim(coded.dictionary, characters=".,")
-        letters = pc.utf8_is_alpha(core)
-        core = pc.if_else(letters, core, coded.dictionary)
-        rest = np.asarray(pc.subtract(pc.utf8_length(coded.dictionary), pc.utf8_length(core)), np.int64)
-        # The tokenizer reads letters in lower case, so spellings that differ in A-Z share a part.
-        core = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core).dictionary_encode()
-        core_at = self.places(core.dictionary.to_pylist())[np.asarray(core.indices, np.int64)] if len(core) else np.zeros(0, np.int64)
-        tail_at = np.zeros(len(core_at), np.int64)
-        with_tail = np.flatnonzero(rest)
-        if len(with_tail):
-            names = coded.dictionary.take(pa.array(with_tail)).to_pylist()
-            tail_at[with_tail] = self.places([w[-int(n):] for w, n in zip(names, rest[with_tail])])
+        # Per distinct word: the place of the word itself, and of what follows its letters.
+        core_at, tail_at = (np.zeros(len(coded.dictionary), np.int64) for _ in range(2))
+        safe = pc.match_substring_regex(coded.dictionary, SAFE_WORD)
+        is_safe = np.asarray(safe)
+        if is_safe.any():
+            mine = coded.dictionary.filter(safe)
+            core = pc.utf8_rtrim(mine, characters=".,")
+            rest = np.asarray(pc.subtract(pc.binary_length(mine), pc.binary_length(core)), np.int64)
+            core = pc.utf8_lower(core).dictionary_encode()
+            core_at[is_safe] = self.places(core.dictionary.to_pylist(), words=True)[np.asarray(core.indices, np.int64)]
+            with_tail = np.flatnonzero(rest)
+            if len(with_tail):
+                names = mine.take(pa.array(with_tail)).to_pylist()
+                tail_at[np.flatnonzero(is_safe)[with_tail]] = self.places([w[-int(n):] for w, n in zip(names, rest[with_tail])])
+        if not is_safe.all():
+            core_at[~is_safe] = self.places(coded.dictionary.filter(pc.invert(safe)).to_pylist())
         size_of, start_of = np.append(self.sizes, 1), np.append(self.starts, len(self.ids))
         index = np.asarray(coded.indices, np.int64)
-        seq = np.stack([core_at[index], tail_at[index]], 1).ravel()
-        seq = np.insert(seq, 2 * (bounds[1:] - bounds[0]), len(self.sizes))  # the end of each text
+        # Pieces in order: each word, its tail if there is one, and the end of each text.
+        tailed = (tail_at > 0)[index]
+        n_pieces = 1 + tailed
+        before = np.concatenate([[0], np.cumsum(n_pieces)])
+        piece_bounds = before[bounds - bounds[0]] + np.arange(len(bounds))  # where each text's pieces begin
+        text_of = np.repeat(np.arange(len(column)), np.diff(bounds))
+        at = before[:-1] + text_of
+        seq = np.empty(len(index) + int(tailed.sum()) + len(column), np.int64)
+        seq[at] = core_at[index]
+        seq[at[tailed] + 1] = tail_at[index[tailed]]
+        seq[piece_bounds[1:] - 1] = len(self.sizes)
         sizes = size_of[seq]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         out = np.append(self.ids, np.uint32(end_id))[np.repeat(start_of[seq] - ends + sizes, sizes) + np.arange(total)]
-        n_ids = np.diff(np.concatenate([[0], ends[np.cumsum(2 * np.diff(bounds) + 1) - 1]]))
-        return out, n_ids
+        return out, np.diff(np.concatenate([[0], ends[piece_bounds[1:] - 1]]))
 
 
 def _containers(path: str, end_id: int, planes: int):

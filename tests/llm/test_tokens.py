@@ -14,6 +14,9 @@ BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokeniz
 TRICKY = st.lists(st.sampled_from([
     "the", " ", "  ", "\n", " \n", "\t", "'s", "'re", "'", "''ll", "don't", "1", "23", "é", "É", "́", " ", " ", "\x1c", "\x85",
     "!", "?!", ".,", "word.", "<|endoftext|>", "<|endof", "<|startoftext|>", "😀", "İ", "ß", "ΣΣ", "ﬁ", "½", "Ⅷ", "_", "a_b", "日本", "aaaa", "r", "e"]), max_size=25).map("".join)
+CASES = st.lists(st.sampled_from(["<|ENDOFTEXT|>", "<|EndOfText|>", "<|StartOfText|>", "<|startoftext|>", "x", "X", "É", "é", "İ", "İ.", "İstanbul,", ".", ",", "..,", "́", "̈",
+                                  "\u0149", "\u01F0", "\u1E9E", "ß", "Straße.", "ÀÉÎ", "K", "Å", "ﬀ", "'S", "'s", "a'LL", "×", "÷", "ª", "µ", "ÿ", "Ÿ", "가", "\u1100\u1161", " ", " ", "\u2003"]),
+                 max_size=16).map("".join)
 TEXTS = st.lists(st.one_of(TRICKY, st.none(), st.text(max_size=40)), min_size=1, max_size=6)
 
 
@@ -29,8 +32,8 @@ def test_counts_equal_the_library(libraries, texts):
     assert COUNTER.counts(pa.array(texts, pa.string())).tolist() == want
 
 
-@settings(max_examples=400, deadline=None)
-@given(TEXTS)
+@settings(max_examples=800, deadline=None)
+@given(st.one_of(TEXTS, st.lists(CASES, min_size=1, max_size=6)))
 def test_ids_equal_the_library(libraries, texts):
     ids, sizes = ENCODER.encode(pa.array(texts, pa.string()), 1)
     want = [libraries[1].encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
@@ -38,6 +41,19 @@ def test_ids_equal_the_library(libraries, texts):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_many_words_at_once(libraries):
+    """Words encoded together get the ids that each gets alone, also when the cache is emptied on the way."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyzéèüßÀÖABCXYZ")
+    encoder = token_planes.Encoder(WORD_BPE)
+    encoder.PARTS = 500
+    for _ in range(6):
+        texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 12))) + rng.choice(["", "", ".", ",", "...", "!", "-x"]) for _ in range(300)) for _ in range(5)]
+        ids, sizes = encoder.encode(pa.array([*texts, None]), 1)
+        want = [libraries[1].encode(t, add_special_tokens=False).ids + [1] for t in [*texts, ""]]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 COUNTER, ENCODER = token_counts.Counter(BYTE_BPE), token_planes.Encoder(WORD_BPE)
 
 
