@@ -2,8 +2,12 @@
 
 A character language model gives the cost of a spelling. A suspicious stretch of text (letters mixed with digits or signs,
 letters set apart, letters repeated) becomes a lattice: a character may stand for itself or for a letter it is used for,
-a sign may be dropped, a repeated letter may be merged. Viterbi finds the cheapest reading under channel and language
-model. Words of the text and of its readings, and their beginnings, are the features of a sparse logistic model.
+a sign may be dropped or part two words, a repeated letter may be merged, and between characters set apart a word may
+end. Viterbi finds the cheapest reading under channel and language model. Words of the text and of its readings, and their
+beginnings, are the features of a sparse logistic model.
+
+A fitted model uses few of them. Patterns made from those, matched in linear time, tell which stretches may be read as one
+of them at all; only these are read when texts are scored.
 """
 
 from __future__ import annotations
@@ -17,7 +21,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from entityflow.llm.common import id_and_text, id_type, per_process, small_batches, steps, unit_hash
 from entityflow.session import settle
@@ -26,14 +29,16 @@ from entityflow.session import settle
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 
+# Of those, the ones beyond ASCII, by one that is used for the same letter.
+STAND_INS = {"€": "3", "£": "1"}
+
 # Symbols of the language model: a word boundary, a-z, and other letters by code.
 ALPHABET = 32
 ORDER = 4
 # Channel costs, as negative log probabilities.
 COST_LEET, COST_DROP, COST_MERGE, COST_LOSE_LEET = 0.6, 0.4, 0.2, 3.0
-LONGEST = 48  # characters of a stretch that is read at once; a longer one is no word
+LONGEST = 48  # characters of a stretch that is read at once; a longer one is read in windows that overlap by half
 
-FEATURES = 1 << 20
 BEGINNINGS = (4, 5)  # letters of a word's beginning that are a feature
 SAMPLE_ROWS = 40_000  # labelled rows that the classifier is fitted on, about
 SELECTED = 4096  # features that the fit may use
@@ -42,10 +47,16 @@ ITERATIONS = 400
 TOKENS_KEPT = 150_000
 
 PLAIN = re.compile(r"[^\W\d_]+")
-TRIPLE = re.compile(r"([^\W\d_])\1\1")
+DOUBLE = re.compile(r"([^\W\d_])\1")
+LONG_RUN = re.compile(r"(.)\1{3,}")
 SIGN_RUN = re.compile(r"([^\w\s])\1\1+$")
-SPACED = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_](?![^\s.,!?])){3,}")
-MAYBE_SPACED = r"(^|\s)\pL( \pL){3,}(\s|[.,!?]|$)"
+# What a word may stand between: marks at its ends, and signs that are used for no letter.
+ENDS, SIGNS = ".,;:?\"'", "-_*#%&)]}[{"
+# Words of these letters without a double one have nothing to restore.
+SMALL = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+PLAIN_WORD, DOUBLES = f"^[{SMALL}]+$", "|".join(c * 2 for c in SMALL)
+SET_APART = 3  # characters that stand alone one after the other, at least
+PATTERN_FORMS = 32  # forms that one pattern looks for
 
 
 def symbol_table() -> np.ndarray:
@@ -106,117 +117,164 @@ class LanguageModel:
         return float(self.costs[key * ALPHABET + symbol])
 
 
-def restore(stretch: str, model: LanguageModel) -> str:
-    """The cheapest reading of a suspicious stretch (lower case) as one word; a stretch over LONGEST stays as it is.
+def restore(stretch: str, model: LanguageModel, apart: bool = False) -> str:
+    """The cheapest reading of a suspicious stretch (lower case), words parted by blanks.
 
-    A state is the last ORDER - 1 symbols read. A step reads a character as a letter, merges it into an equal letter
-    before it, or drops it if it is no letter. Of readings of equal cost, the first in alphabetical order counts.
+    A state is the last ORDER - 1 symbols read, as one number. A step reads a character as a letter, merges it into an equal
+    letter before it, or, if it is no letter, drops it or ends a word there. With ``apart``, the characters stood alone and a word
+    may end after any of them. Of readings of equal cost, the first in alphabetical order counts.
     """
-    if len(stretch) > LONGEST:
-        return stretch
-    best: dict[tuple, tuple[float, str]] = {(0,) * (ORDER - 1): (0.0, "")}
+    price, table, states = memoryview(model.costs), symbol_table(), ALPHABET ** (ORDER - 1)
+    best: dict[int, tuple[float, str]] = {0: (0.0, "")}
+
+    def offer(to: dict, state: int, symbol: int, cost: float, out: str) -> None:
+        """A reading that goes on with a symbol."""
+        at = state * ALPHABET + symbol
+        found = (cost + price[at], out)
+        at %= states
+        if at not in to or found < to[at]:
+            to[at] = found
+
     for c in stretch:
         letter = c.isalpha()
-        readings = [(c, 0.0)] if letter else [(r, COST_LEET) for r in LEET.get(c, "")]
-        readings = [(r, price, int(symbols(r)[0])) for r, price in readings]
-        now: dict[tuple, tuple[float, str]] = {}
+        readings = [(r, 0.0 if letter else COST_LEET, int(table[min(ord(r), 0xFFFF)])) for r in (c if letter else LEET.get(c, ""))]
+        lost = COST_LOSE_LEET if c in LEET else COST_DROP
+        if apart:
+            for state, (cost, out) in list(best.items()):
+                if state % ALPHABET:
+                    offer(best, state, 0, cost, out + " ")
+        now: dict[int, tuple[float, str]] = {}
         for state, (cost, out) in best.items():
-            offers = [((*state[1:], s), (cost + price + model.cost(state, s), out + r)) for r, price, s in readings]
-            offers += [(state, (cost + price + COST_MERGE, out)) for r, price, s in readings if out[-1:] == r]
+            for r, extra, symbol in readings:
+                offer(now, state, symbol, cost + extra, out + r)
+                if out[-1:] == r and (state not in now or (cost + extra + COST_MERGE, out) < now[state]):
+                    now[state] = (cost + extra + COST_MERGE, out)
             if not letter:
-                offers.append((state, (cost + (COST_LOSE_LEET if c in LEET else COST_DROP), out)))
-            for to, offer in offers:
-                if to not in now or offer < now[to]:
-                    now[to] = offer
+                if state not in now or (cost + lost, out) < now[state]:
+                    now[state] = (cost + lost, out)
+                if state % ALPHABET:
+                    offer(now, state, 0, cost + lost, out + " ")
         best = now
-    return min((cost + model.cost(state, 0), out) for state, (cost, out) in best.items())[1]
+    return min((cost + (price[state * ALPHABET] if state % ALPHABET else 0.0), out.strip()) for state, (cost, out) in best.items())[1]
+
+
+def windows(stretch: str) -> list[str]:
+    """Pieces of a long stretch that overlap by half, runs of one character shortened to three first."""
+    if len(stretch) <= LONGEST:
+        return [stretch]
+    stretch = LONG_RUN.sub(lambda m: m.group(1) * 3, stretch)
+    return [stretch[k:k + LONGEST] for k in range(0, max(1, len(stretch) - LONGEST // 2), LONGEST // 2)]
+
+
+def forms(words: set[str]) -> set[str]:
+    """Words and, marked by a star, their beginnings."""
+    return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
+
+
+def tidy(stretches: pa.Array) -> pa.Array:
+    """Stretches without characters that are neither letters nor used for letters, and with those in ASCII alone."""
+    found = pc.replace_substring_regex(stretches, f"[^\\pL{re.escape(''.join(LEET))}]+", "")
+    for c, same in STAND_INS.items():
+        found = pc.replace_substring(found, c, same)
+    return found
+
+
+def writings(form: str) -> str:
+    """A pattern that a tidy stretch meets if its lattice has a reading with this form in it.
+
+    Each letter is written as itself or as a character used for it; after it may come repeats of it, which may be merged, and
+    characters used for letters, which may be dropped.
+    """
+    signs = re.escape("".join(c for c in LEET if c not in STAND_INS))
+    return "".join(f"[{letter}{re.escape(''.join(c for c, used in LEET.items() if letter in used and c not in STAND_INS))}][{letter}{signs}]*"
+                   for letter in form)
 
 
 class Reader:
-    """Features of text columns: distinct words, restored words and their beginnings, hashed."""
+    """Words of texts, as written and as restored."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, set[str]] = {}
 
     def words(self, token: str) -> set[str]:
-        """Words of a lower-case text without separators, as written and as restored."""
-        found = set(PLAIN.findall(token))
-        core = SIGN_RUN.sub("", token.rstrip(".,;:?!\"'")).strip(".,;:?\"'-_*#%&)]}[{")
-        if len(core) <= LONGEST and found and (not core.isalpha() or TRIPLE.search(core)):
-            found.add(restore(core, self.model))
-        return found
-
-    def hashed(self, words: set[str]) -> np.ndarray:
-        forms = words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
-        return np.unique(np.fromiter((xxh64_intdigest(w.encode(), 7) % FEATURES for w in forms if w), np.int64))
-
-    def token_features(self, token: str) -> np.ndarray:
+        """Words of a lower-case text without separators."""
         got = self.known.get(token)
         if got is None:
-            got = self.hashed(self.words(token))
+            got = set(PLAIN.findall(token))
+            core = SIGN_RUN.sub("", token.rstrip(ENDS + "!")).strip(ENDS + SIGNS)
+            if got and (not core.isalpha() or DOUBLE.search(core)):
+                got.update(*(restore(w, self.model).split() for w in windows(core)))
             if len(token) <= LONGEST:
                 if len(self.known) >= TOKENS_KEPT:
                     self.known.clear()
                 self.known[token] = got
         return got
 
-    def features(self, column: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(row, feature) pairs, each once, in order of the row; with ``wanted``, a mask by feature, only those."""
-        text = pc.utf8_lower(pc.fill_null(column.cast(pa.string()), ""))
-        tokens = pc.ascii_split_whitespace(text)
+    def words_apart(self, run: str) -> set[str]:
+        """Words of characters that stood alone, one after the other."""
+        return set().union(*(restore(w, self.model, apart=True).split() for w in windows(run)))
+
+    def words_of(self, column: pa.Array, scorer: Scorer | None = None) -> list[set[str]]:
+        """The words of each text of a lower-case column; for a scorer, only those of stretches that may matter to it."""
+        tokens = pc.ascii_split_whitespace(column)
         bounds = np.asarray(tokens.offsets, np.int64)
         coded = tokens.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-        of_token = [self.token_features(t) for t in coded.dictionary.to_pylist()]
-        if wanted is not None:
-            of_token = [f[wanted[f]] for f in of_token]
-        row = np.repeat(np.arange(len(column)), np.diff(bounds))
-        sizes = np.fromiter(map(len, of_token), np.int64, len(of_token))
-        index = np.asarray(coded.indices, np.int64)
-        some = sizes[index] > 0
-        pairs = np.unique(row[some] * len(sizes) + index[some]) if some.any() else np.zeros(0, np.int64)
-        rows, parts = [np.repeat(pairs // max(1, len(sizes)), sizes[pairs % max(1, len(sizes))])], [of_token[k] for k in (pairs % max(1, len(sizes))).tolist()]
-        for k in np.flatnonzero(np.asarray(pc.match_substring_regex(text, MAYBE_SPACED))).tolist():
-            for m in SPACED.finditer(text[k].as_py()):
-                # One-letter words may stand beside the letters of a word set apart, so up to two at each end may be others.
-                letters = m.group().replace(" ", "")
-                found = self.hashed({restore(letters[a:len(letters) - b], self.model) for a in range(3) for b in range(3) if len(letters) - a - b > 3})
-                found = found if wanted is None else found[wanted[found]]
-                rows.append(np.full(len(found), k))
-                parts.append(found)
-        both = np.unique(np.concatenate(rows) * FEATURES + np.concatenate([np.zeros(0, np.int64), *parts]))
-        return both // FEATURES, both % FEATURES
+        kinds, index, bounds = coded.dictionary, np.asarray(coded.indices, np.int64), bounds - bounds[0]
+        out: list[set[str]] = [set() for _ in range(len(column))]
+        telling = np.ones(len(kinds), bool) if scorer is None else scorer.may_matter(kinds)
+        words = {k: self.words(kinds[k].as_py()) for k in np.flatnonzero(telling).tolist()}
+        some = np.flatnonzero(telling[index])
+        row = np.searchsorted(bounds, some, "right") - 1
+        for pair in np.unique(row * max(1, len(kinds)) + index[some]).tolist():
+            out[pair // len(kinds)] |= words[pair % len(kinds)]
+        # Characters that stand alone, several in a row.
+        alone = np.asarray(pc.and_(pc.equal(pc.utf8_length(kinds), 1), pc.or_(pc.utf8_is_alpha(kinds), pc.is_in(kinds, value_set=pa.array(list(LEET))))))
+        at = np.flatnonzero(alone[index])
+        row = np.searchsorted(bounds, at, "right") - 1
+        first = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (np.diff(row) > 0)]) if len(at) else at
+        size = np.diff(np.r_[first, len(at)])
+        runs = [(int(row[a]), "".join(kinds.take(pa.array(index[at[a:a + n]])).to_pylist()))
+                for a, n in zip(first[size >= SET_APART].tolist(), size[size >= SET_APART].tolist())]
+        runs = [(k, run) for k, run in runs if sum(map(str.isalpha, run)) >= 2]
+        telling = np.ones(len(runs), bool) if scorer is None else scorer.may_hold(pa.array([run for _, run in runs], pa.string()))
+        for (k, run), told in zip(runs, telling.tolist()):
+            if told:
+                out[k] |= self.words_apart(run)
+        return out
 
 
 @dataclass
 class Model:
     language: LanguageModel
-    features: np.ndarray
+    forms: list[str]
     weights: np.ndarray
     bias: float
 
 
-def _sample_features(language: LanguageModel):
+def lowered(column: pa.Array) -> pa.Array:
+    return pc.utf8_lower(pc.fill_null(column.cast(pa.string()), ""))
+
+
+def _sample_forms(language: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(language)
         for batch in steps(batches, 0):
-            row, feature = reader.features(batch.column(0))
-            ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))], ["label", "features"])
+            found = pa.array([sorted(forms(words)) for words in reader.words_of(lowered(batch.column(0)))], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), found], ["label", "forms"])
 
     return run
 
 
-def _restrict(chosen: np.ndarray):
+def _restrict(chosen: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
             size = np.diff(np.asarray(lists.offsets))
-            flat = np.asarray(lists.flatten())
-            keep = np.isin(flat, chosen)
+            at = pc.index_in(lists.flatten(), value_set=pa.array(chosen, pa.string()))
+            keep = np.asarray(at.is_valid())
             ends = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(np.arange(len(size)), size)[keep], minlength=len(size)))]).astype(np.int32)
-            at = np.searchsorted(chosen, flat[keep]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(at))], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), at.drop_null())], ["label", "features"])
 
     return run
 
@@ -249,44 +307,65 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on about ``sample_rows`` of ``labels`` (id, 0/1), by hash of the id; the language model counts all texts.
 
-    Null ids and labels teach nothing; an id with several labels counts as toxic if any says so. Without labelled rows
-    of both kinds the model gives every text the share of toxic rows, or 0 without any.
+    Null ids and labels teach nothing; an id with several labels counts as toxic if any says so. Without labelled documents of
+    both kinds nothing is learnt, and every text scores next to 0.
     """
-    spark = docs.sparkSession
     grams = settle(count_ngrams(docs, text_col), "ngrams").toArrow()  # at most ALPHABET^ORDER rows
     language = LanguageModel(np.asarray(grams["gram"], np.int64), np.asarray(grams["n"], np.int64))
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).na.drop()
     known = known.groupBy("id").agg(F.max("label").alias("label"))
-    total, positive = known.agg(F.count("*"), F.sum("label")).first()
-    if not total or not positive or positive == total:
-        share = (positive or 0) / total if total else 0.0
-        return Model(language, np.zeros(0, np.int64), np.zeros(0), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
-    sample = known.where(unit_hash(F.col("id"), 11) < sample_rows / total)
+    sample = known.where(unit_hash(F.col("id"), 11) < sample_rows / max(1, known.count()))
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").select("text", "label")  # sample_rows narrow rows
-    seen = settle(rows.mapInArrow(_sample_features(language), "label int, features array<int>"), "sample-features")
-    counts = seen.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
-    chosen = counts.where((F.col("t") >= LEAST_DOCS) & (2 * F.col("t") > F.col("n"))).orderBy(F.desc(F.col("t") * F.col("t") / F.col("n")), "feature").limit(SELECTED)
-    chosen = np.sort(np.array([r.feature for r in chosen.select("feature").collect()], np.int64))
+    seen = settle(rows.mapInArrow(_sample_forms(language), "label int, forms array<string>"), "sample-forms")
+    if seen.select("label").distinct().count() < 2:
+        return Model(language, [], np.zeros(0), float(np.log(1e-6)))
+    counts = seen.select("label", F.explode("forms").alias("form")).groupBy("form").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
+    chosen = counts.where((F.col("t") >= LEAST_DOCS) & (2 * F.col("t") > F.col("n"))).orderBy(F.desc(F.col("t") * F.col("t") / F.col("n")), "form").limit(SELECTED)
+    chosen = sorted(r.form for r in chosen.select("form").collect())
     table = seen.mapInArrow(_restrict(chosen), "label int, features array<int>").toArrow()  # sample_rows short rows
     lists = table["features"].combine_chunks()
     size = np.diff(np.asarray(lists.offsets))
     weights, bias = fit_logistic(np.repeat(np.arange(len(size)), size), np.asarray(lists.flatten(), np.int64),
                                  np.asarray(table["label"], np.float64), len(chosen))
-    used = weights > 1e-6
-    return Model(language, chosen[used], weights[used], bias)
+    used = np.flatnonzero(weights > 1e-6)
+    return Model(language, [chosen[k] for k in used], weights[used], bias)
 
 
 class Scorer:
-    """Scores text columns; keeps what it has read of frequent tokens."""
+    """Scores text columns; reads only stretches in which a form of the model may be written."""
 
     def __init__(self, model: Model):
         self.reader, self.bias = Reader(model.language), model.bias
-        self.weight, self.wanted = np.zeros(FEATURES), np.zeros(FEATURES, bool)
-        self.weight[model.features], self.wanted[model.features] = model.weights, True
+        self.weight = dict(zip(model.forms, model.weights.tolist()))
+        self.whole = pa.array([f for f in model.forms if not f.endswith("*")], pa.string())
+        self.begun = {n: pa.array([f[:-1] for f in model.forms if f.endswith("*") and len(f) == n + 1], pa.string()) for n in BEGINNINGS}
+        patterns = [writings(f) for f in sorted({f.rstrip("*") for f in model.forms})]
+        self.patterns = ["|".join(patterns[k:k + PATTERN_FORMS]) for k in range(0, len(patterns), PATTERN_FORMS)]
+
+    def may_hold(self, stretches: pa.Array) -> np.ndarray:
+        """Which stretches some form of the model may be written in."""
+        held, tidied = np.zeros(len(stretches), bool), tidy(stretches)
+        for pattern in self.patterns:
+            held |= np.asarray(pc.match_substring_regex(tidied, pattern))
+        return held
+
+    def may_matter(self, tokens: pa.Array) -> np.ndarray:
+        """Which tokens some form of the model may be a reading of. One with nothing to restore has itself as its only reading."""
+        core = pc.utf8_trim(pc.utf8_rtrim(tokens, characters=ENDS + "!"), characters=ENDS + SIGNS)
+        plain = np.asarray(pc.and_not(pc.match_substring_regex(core, PLAIN_WORD), pc.match_substring_regex(core, DOUBLES)))
+        held = np.asarray(pc.is_in(core, value_set=self.whole)).copy()
+        for n, begun in self.begun.items():
+            held |= np.asarray(pc.is_in(pc.utf8_slice_codeunits(core, 0, n), value_set=begun))
+        odd = np.flatnonzero(~plain)
+        held[odd] = self.may_hold(tokens.take(pa.array(odd)))
+        return held
+
+    def of_words(self, words: set[str]) -> float:
+        found = sorted(self.weight.keys() & forms(words))
+        return 1 / (1 + np.exp(-self.bias - sum(self.weight[f] for f in found)))
 
     def scores(self, column: pa.Array) -> pa.Array:
-        row, feature = self.reader.features(column, self.wanted)
-        return pa.array(1 / (1 + np.exp(-np.bincount(row, self.weight[feature], len(column)) - self.bias)))
+        return pa.array([self.of_words(words) for words in self.reader.words_of(lowered(column), self)], pa.float64())
 
 
 def _scores(model: Model):

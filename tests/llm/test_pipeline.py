@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -19,7 +20,7 @@ from test_simhash import plain_classes, plain_fingerprint
 
 def test_registered():
     names = queries()
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_|", k).group() for k in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_|", k).group() for k in names}
     assert "pipeline" in names and set(oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near duplicates", "decontamination", "mixing", "token ids"]
 
@@ -39,10 +40,10 @@ def test_stages_against_brute_force(spark, tmp_path):
     given, kept = out[0]
     model = toxicity_model(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     reader = toxicity.Reader(model.language)
-    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    weight = dict(zip(model.forms, model.weights.tolist()))
     def z(text):
-        words = set().union(*(reader.words(t) for t in re.findall(r"[^\x20\x09-\x0D]+", text.lower())), set())
-        return model.bias + sum(weight.get(f, 0.0) for f in reader.hashed(words).tolist())
+        words = reader.words_of(toxicity.lowered(pa.array([text])))[0]
+        return model.bias + sum(weight.get(f, 0.0) for f in toxicity.forms(words))
     assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in given if z(r.text) < 0)
 
     given, kept = out[1]
