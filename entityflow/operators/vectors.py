@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,8 +127,8 @@ def _compare_blocks(
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
 
-    # One small row per cell, at most one per pivot.
-    counts = F.broadcast(sizes(left, "left_blocks").join(sizes(right, "right_blocks"), "cell"))
+    # One small row per cell.
+    counts = settle(sizes(left, "left_blocks").join(sizes(right, "right_blocks"), "cell"), "cell-blocks")
 
     def block(count: str) -> Column:
         return F.pmod(F.xxhash64(id_col), F.col(count)).cast("int")
@@ -152,7 +153,7 @@ def _compare_blocks(
         return pd.DataFrame({"cell": group["cell"].iloc[0], id_col: ids_b[hit], "dup_of": ids_a[near.argmax(axis=1)[hit]]})
 
     schema = T.StructType([
-        T.StructField("cell", T.IntegerType()), T.StructField(id_col, id_type), T.StructField("dup_of", id_type)
+        left.schema["cell"], T.StructField(id_col, id_type), T.StructField("dup_of", id_type)
     ])
     found = both.groupBy("cell", "lb", "rb").applyInPandas(compare, schema)
     return found.groupBy("cell", id_col).agg(F.min("dup_of").alias("dup_of"))
@@ -227,53 +228,91 @@ def near_duplicates(
 
 
 # --- near duplicates by banded keys ----------------------------------------------------
+#
+# A band's key is the sides of some random planes that a vector lies on. A key that too many vectors share is cut
+# again by planes through the middle of those vectors, in several independent ways, until every key is small enough to
+# compare all its vectors. So however crowded a region is, the work stays linear in the rows and no pair of a key is left out.
+
+BUCKET_ROWS = 1_024
+CUT_BITS = 16  # planes that one cut may use, at most
+CUT_ROUNDS = 6
+VECTOR_BATCH = 4_096
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), rows.shape[1]).cast(pa.list_(pa.float64()))
+
+
+def _mixed(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A 64-bit key of two numbers."""
+    with np.errstate(over="ignore"):
+        z = (key.astype(np.uint64) + more.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((z ^ (z >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)).view(np.int64)
 
 
-def _band_keys(bands: int, bits: int, seed: int, dims: int, id_col: str, vec_col: str):
+def _band_keys(bands: int, bits: int, seed: int, dims: int):
     planes = np.random.default_rng(seed).normal(size=(dims, bands * bits))
     powers = 1 << np.arange(bits, dtype=np.int64)
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            unit = _unit(_stack(batch[vec_col]))
+            unit = _unit(_matrix(batch.column(1)))
             key = ((unit @ planes > 0).reshape(len(unit), bands, bits) * powers).sum(axis=2)
-            yield pd.DataFrame({
-                "band": np.tile(np.arange(bands, dtype=np.int32), len(unit)), "key": key.ravel(),
-                id_col: np.repeat(batch[id_col].to_numpy(), bands), vec_col: [v for v in unit for _ in range(bands)],
-            })
+            for band in range(bands):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(unit), band, np.int32)), pa.array(key[:, band]), batch.column(0), _lists(unit)], ["band", "key", "id", "vec"])
 
     return keys
 
 
-def _near_in_order(min_cos: float, window: int, id_col: str, vec_col: str):
-    """Rows sorted by bucket and id -> matches with the bucket's first rows and with the rows just before."""
+def _cut_keys(splits: int, seed: int, dims: int):
+    """(band, key, id, vec, middle, planes) -> each row under ``splits`` new keys, by that many planes through the middle of its key."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            band, key, planes = (np.asarray(batch.column(c)) for c in ("band", "key", "planes"))
+            away = _matrix(batch.column("vec")) - _matrix(batch.column("middle"))
+            used = np.arange(CUT_BITS) < planes[:, None]
+            for way in range(splits):
+                code = np.zeros(len(key), np.int64)
+                for b in np.unique(band).tolist():
+                    mine = band == b
+                    sides = away[mine] @ np.random.default_rng((seed, way, b)).normal(size=(dims, CUT_BITS)) > 0
+                    code[mine] = ((sides & used[mine]) << np.arange(CUT_BITS)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("band"), pa.array(_mixed(key, code * splits + way + 1)), batch.column("id"), batch.column("vec")], ["band", "key", "id", "vec"])
+
+    return cut
+
+
+def _near_in_bucket(min_cos: float):
+    """Rows sorted by key and id -> the earliest near row of the key for each row that has one."""
+
+    def matches(ids: np.ndarray, unit: np.ndarray) -> Iterator[pa.RecordBatch]:
+        near = np.tril(unit @ unit.T >= min_cos, -1)
+        hit = near.any(axis=1)
+        if hit.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(ids[near.argmax(axis=1)[hit]])], ["id", "dup_of"])
 
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Of each bucket: its first ``window`` rows stay, and the last ``window`` rows slide along.
-        bucket, first, recent = None, None, None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # band, key, id and vectors of the last key so far
         for batch in batches:
-            for mine, group in batch.groupby(["band", "key"], sort=False):
-                if mine != bucket:
-                    bucket, first, recent = mine, None, None
-                ids, unit = group[id_col].to_numpy(), _stack(group[vec_col])
-                for a in range(0, len(ids), window):
-                    new_ids, new = ids[a:a + window], unit[a:a + window]
-                    parts = [x for x in (first, recent) if x is not None]
-                    pool_ids = np.concatenate([*(x[0] for x in parts), new_ids])
-                    pool = np.concatenate([*(x[1] for x in parts), new])
-                    near = (new @ pool.T >= min_cos) & (pool_ids[None, :] < new_ids[:, None])
-                    least = np.where(near, pool_ids[None, :], np.iinfo(np.int64).max).min(axis=1)
-                    hit = near.any(axis=1)
-                    if hit.any():
-                        yield pd.DataFrame({id_col: new_ids[hit], "dup_of": least[hit]})
-                    if first is None:
-                        first = (new_ids, new)
-                    else:
-                        recent = (new_ids, new)
-
-    return match
+            rows = [*(np.asarray(batch.column(c)) for c in range(3)), _matrix(batch.column(3))]
+            if held is not None:
+                rows = [np.concatenate([a, b]) for a, b in zip(held, rows)]
+            starts = np.flatnonzero(np.r_[True, (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)])
+            for a, b in zip(starts.tolist(), starts[1:].tolist()):
+                if b - a > 1:
+                    yield from matches(rows[2][a:b], rows[3][a:b])
+            held = [r[starts[-1]:] for r in rows]
+        if held is not None and len(held[0]) > 1:
+            yield from matches(held[2], held[3])
+
+    return run
 
 
 def near_duplicates_banded(
@@ -282,42 +321,59 @@ def near_duplicates_banded(
     bands: int = 24,
     bits: int = 12,
     seed: int = 1,
-    window: int = 256,
+    bucket_rows: int = BUCKET_ROWS,
+    splits: int = 3,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
 ) -> DataFrame:
-    """(id, dup_of): vectors that share a key of some band with an earlier vector at cosine >= ``min_cos``.
+    """(id, dup_of): vectors that share a key with an earlier vector at cosine >= ``min_cos``.
 
     A band's key is the sides of ``bits`` random planes that a vector lies on; two vectors at angle a share it with
     probability (1 - a / pi) ^ bits, so with the defaults vectors at cosine 0.98 meet in some band with probability 0.999
-    and vectors at right angles in 0.6 %. Candidates are checked exactly, so every row listed is right; ``dup_of`` is the
-    earliest match found. Equal vectors are collapsed first. Buckets are sorted by id across tasks, so a hot bucket is cut
-    wherever a task ends; within a bucket, a row is compared with the first ``window`` rows, which stand for a crowd of
-    near-copies, and with the rows just before it. Work is linear in the rows times bands * window. Ids are integers.
+    and vectors at right angles in 0.6 %. A key of more than ``bucket_rows`` vectors is cut in ``splits`` independent ways by
+    planes through its middle, as many as its size needs, again and again. A pair of a crowded key parts in all ways of a cut
+    only if it is not much closer than the others of the key; and crowded vectors share most bands, each cut by its
+    own planes. All vectors of a key are compared exactly, so every row listed is right; ``dup_of`` is the earliest match found.
+    What CUT_ROUNDS can't cut is compared block by block, spread over tasks. Vectors of one direction are collapsed first;
+    null vectors take no part. Ids are integers.
     """
-    copies = emb.select(id_col, vec_col)
-    distinct = settle(
-        copies.groupBy(vec_col).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("n_copies")), "distinct-vectors"
-    )
-    some = distinct.select(F.size(vec_col)).first()
+    id_type = emb.schema[id_col].dataType
+    length = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    direction = F.transform(vec_col, lambda x: F.when(F.col("__length") > 0, F.round(x.cast("double") / F.col("__length"), 10)).otherwise(F.lit(0.0)) + F.lit(0.0))
+    copies = emb.filter(F.col(vec_col).isNotNull()).withColumn("__length", length).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), direction.alias("way"))
+    distinct = settle(copies.groupBy("way").agg(F.min(F.struct("id", "vec")).alias("r"), F.count(F.lit(1)).alias("n_copies")).select("way", "r.*", "n_copies"), "distinct-vectors")
+    some = distinct.select(F.size("vec")).first()
     if some is None:
-        return copies.select(id_col, F.col(id_col).alias("dup_of")).limit(0)
-    id_field = emb.schema[id_col]
-    keyed_schema = T.StructType([
-        T.StructField("band", T.IntegerType()), T.StructField("key", T.LongType()), id_field, T.StructField(vec_col, T.ArrayType(T.DoubleType())),
-    ])
-    keyed = distinct.select(id_col, vec_col).mapInPandas(_band_keys(bands, bits, seed, some[0], id_col, vec_col), keyed_schema)
-    # A lone key needs no comparison.
-    keyed = settle(keyed, "band-keys")
-    shared = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "key")
-    rows = keyed.join(shared, ["band", "key"], "left_semi").repartitionByRange("band", "key", id_col).sortWithinPartitions("band", "key", id_col)
-    out = T.StructType([id_field, T.StructField("dup_of", id_field.dataType)])
-    matches = rows.mapInPandas(_near_in_order(min_cos, window, id_col, vec_col), out)
-    found = settle(matches.groupBy(id_col).agg(F.min("dup_of").alias("dup_of")), "vector-matches")
-    repeated = distinct.filter("n_copies > 1").select(vec_col, F.col(id_col).alias("__first"))
+        return emb.select(id_col, F.col(id_col).alias("dup_of")).limit(0)
+    dims, kind = some[0], id_type.simpleString()
+    columns = f"band int, key long, id {kind}, vec array<double>"
+    found_columns = f"id {kind}, dup_of {kind}"
+    rows = settle(distinct.select("id", "vec").mapInArrow(_band_keys(bands, bits, seed, dims), columns), "band-keys", batch_rows=VECTOR_BATCH)
+    found = []
+    for number in range(CUT_ROUNDS + 1):
+        sizes = settle(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key-sizes")
+        small = rows.join(sizes.filter(F.col("n") <= bucket_rows).select("band", "key"), ["band", "key"], "left_semi")
+        small = small.repartition("band", "key").sortWithinPartitions("band", "key", "id")
+        found.append(settle(small.mapInArrow(_near_in_bucket(min_cos), found_columns), "key-matches", batch_rows=VECTOR_BATCH))
+        crowded = sizes.filter(F.col("n") > bucket_rows)
+        if crowded.isEmpty():
+            break
+        rows = rows.join(crowded, ["band", "key"])
+        if number == CUT_ROUNDS:
+            cells = rows.select(F.xxhash64("band", "key").alias("cell"), "id", "vec")
+            found.append(settle(_compare_blocks(cells, cells, min_cos, bucket_rows, "id", "vec", id_type).select("id", "dup_of"), "key-matches"))
+            break
+        # The middle of a key's vectors, and as many planes as leave half a bucket on average.
+        middle = rows.groupBy("band", "key").agg(F.array(*[F.avg(F.get("vec", F.lit(k))) for k in range(dims)]).alias("middle"),
+                                                 F.least(F.lit(CUT_BITS), F.ceil(F.log2(F.first("n") / bucket_rows)) + 1).cast("int").alias("planes"))
+        placed = rows.drop("n").join(settle(middle, "key-middles"), ["band", "key"])
+        rows = settle(placed.mapInArrow(_cut_keys(splits, seed + 1 + number, dims), columns), "cut-keys", batch_rows=VECTOR_BATCH)
+    found = settle(reduce(DataFrame.unionByName, found).groupBy("id").agg(F.min("dup_of").alias("dup_of")), "vector-matches")
+    # Further vectors of a direction follow its first one, or what that one follows.
+    repeated = distinct.filter("n_copies > 1").select("way", F.col("id").alias("__first"))
     followers = (
-        copies.join(repeated, vec_col).filter(F.col(id_col) != F.col("__first")).select(id_col, "__first")
-        .join(found.select(F.col(id_col).alias("__first"), "dup_of"), "__first", "left")
-        .select(id_col, F.coalesce("dup_of", "__first").alias("dup_of"))
+        copies.join(repeated, "way").filter(F.col("id") != F.col("__first")).select("id", "__first")
+        .join(found.select(F.col("id").alias("__first"), "dup_of"), "__first", "left")
+        .select("id", F.coalesce("dup_of", "__first").alias("dup_of"))
     )
-    return found.unionByName(followers)
+    return found.unionByName(followers).select(F.col("id").alias(id_col), "dup_of")

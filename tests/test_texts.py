@@ -1,7 +1,8 @@
-import pandas as pd
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,10 +167,45 @@ def test_banded_near_duplicates_recall_and_work(spark):
     assert all(near[i, j] for i, j in got.items())
     assert len(want & set(got)) >= 0.98 * len(want)
     # Candidates per vector stay far below the number of vectors: bands * (pairs that share a random key).
-    keys = list(vectors._band_keys(24, 12, 1, 48, "vec_id", "embedding")(iter([pd.DataFrame({"vec_id": range(400), "embedding": list(base)})])))[0]
-    sizes = keys.groupby(["band", "key"]).size()
-    assert (sizes * (sizes - 1)).sum() / 400 < 8
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(list(base))], ["id", "vec"])
+    sizes = Counter((b, k) for part in vectors._band_keys(24, 12, 1, 48)(iter([batch])) for b, k in zip(*(part.column(c).to_pylist() for c in range(2))))
+    assert sum(n * (n - 1) for n in sizes.values()) / 400 < 8
     crowd = np.tile(base[0], (900, 1)) + rng.normal(size=(900, 48)) * 1e-4
-    found = vectors.near_duplicates_banded(vector_table(spark, crowd), 0.99, window=64).collect()
+    found = vectors.near_duplicates_banded(vector_table(spark, crowd), 0.99).collect()
     assert {r.vec_id for r in found} == set(range(1, 900)) and {r.dup_of for r in found} == {0}
+    # The same crowd in keys that must be cut: each row but the first has an earlier match.
+    found = vectors.near_duplicates_banded(vector_table(spark, crowd), 0.99, bands=6, bucket_rows=64).collect()
+    assert len(found) >= 0.99 * 899 and all(r.dup_of < r.vec_id for r in found)
     assert vectors.near_duplicates_banded(vector_table(spark, points).limit(0), 0.9).count() == 0
+
+
+def test_banded_recall_in_a_crowded_cone(spark):
+    """All vectors share nearly all keys; copies of some, far apart in id, are found all the same."""
+    rng, n, dims = np.random.default_rng(3), 20_000, 64
+    middle = rng.normal(size=dims)
+    points = middle / np.linalg.norm(middle) + rng.normal(size=(n, dims)) * 0.0174
+    copied = rng.choice(n // 2, 200, replace=False)
+    points[n - 200:] = points[copied] + rng.normal(size=(200, dims)) * 0.0047
+    found = {r.vec_id: r.dup_of for r in vectors.near_duplicates_banded(vector_table(spark, points), 0.995, bands=6).collect()}
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    assert np.mean(np.sum(unit[:2000] * unit[2000:4000], axis=1)) < 0.985
+    assert all(unit[i] @ unit[j] >= 0.995 - 1e-12 and j < i for i, j in found.items())
+    assert np.mean([found.get(n - 200 + k) == c for k, c in enumerate(copied)]) >= 0.98
+
+
+def test_banded_same_direction_and_what_no_plane_cuts(spark, monkeypatch):
+    """Multiples of one vector are one direction; keys that stay too large are compared block by block."""
+    rng = np.random.default_rng(4)
+    points = np.concatenate([np.outer(rng.uniform(0.1, 9, 300), rng.normal(size=16)), np.zeros((3, 16)), rng.normal(size=(200, 16))])
+    points = np.concatenate([points, points[303:] + 1e-3])
+    table = vector_table(spark, points).unionByName(spark.createDataFrame([(9999, None)], "vec_id long, embedding array<double>"))
+    unit = points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-300)
+    near = np.tril(unit @ unit.T >= 0.99, -1)
+    near[:303, :303] = np.tril(np.ones((303, 303), bool), -1)
+    near[300:303, :300] = False  # zero vectors only match each other
+    want = {int(i): int(near[i].argmax()) for i in np.flatnonzero(near.any(axis=1))}
+    got = {r.vec_id: r.dup_of for r in vectors.near_duplicates_banded(table, 0.99).collect()}
+    assert got == want
+    monkeypatch.setattr(vectors, "CUT_ROUNDS", 0)
+    got = {r.vec_id: r.dup_of for r in vectors.near_duplicates_banded(table, 0.99, bits=2, bucket_rows=16).collect()}
+    assert got == want
