@@ -610,6 +610,7 @@ ORACLES["page_failures"] = with_views(
 FROM fx_wild_pages WHERE kind = 'broken'""", "fx_wild_pages",
 )
 ORACLES["rejected_bodies"] = """SELECT page_id, url, CAST(strlen(html) AS INT) AS bytes, 'over the size cap' AS reason FROM pages WHERE strlen(html) > 1500"""
+ORACLES["similar_indexed"] = ORACLES["similar_vectors"]
 ORACLES["near_duplicates_banded"] = with_views(
     """SELECT b.vec_id, min(a.vec_id) AS dup_of FROM fx_near_vectors a JOIN fx_near_vectors b ON a.vec_id < b.vec_id
 WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.98 GROUP BY b.vec_id""", "fx_near_vectors",

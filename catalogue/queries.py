@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from catalogue.fixtures import NOW, table, view
 from entityflow.functions import labels, names, text, times, urls
-from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, timed, vectors
+from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, timed, vector_index, vectors
 from entityflow.plans import records, run
 from entityflow.schemas import CONTENT, DEFAULT_TARGET, JOB, NEWS, PRODUCT, REQUIRED, RESEARCH_PAPER, STARTUP, PRICING_VALUES
 from entityflow.session import configure, settle, work_path
@@ -806,6 +806,15 @@ def similar_vectors(spark, sf):
     return vectors.similar(emb, queries, k=10)
 
 
+@query
+def similar_indexed(spark, sf):
+    """The same through the inverted-list index, with all cells visited and all codes kept, so that the result is exact."""
+    emb = table(spark, sf, "embeddings")
+    queries = emb.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    index = vector_index.build_index(emb)
+    return vector_index.search(index, emb, queries, k=10, probes=len(index.cells), keep=emb.count())
+
+
 @query
 def near_duplicates(spark, sf):
     return vectors.near_duplicates(table(spark, sf, "embeddings"), 0.4)

@@ -30,49 +30,51 @@ def _stack(column: pd.Series) -> np.ndarray:
 
 
 def similar(emb: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """The k most similar vectors of every query: (query_id, <id>, score, rank).
+    """The k most similar vectors of every query, exactly: (query_id, <id>, score, rank).
 
-    Any number of queries (query_id, <vec>), answered in blocks of QUERY_BLOCK: each block is one scan of ``emb``, in which
-    Arrow batches are multiplied with the block's matrix, each task keeps its running k best per query and sends on only those.
-    The driver holds one block at a time. Ties go to the smaller (integer) id.
+    Any number of queries (query_id, <vec>). They are packed in blocks of QUERY_BLOCK, a row each, which meet the packed vectors
+    in one scan: while the blocks are small, Spark brings them to the vectors, else both are shuffled by block. A block of vectors
+    is multiplied with a block of queries and sends on its k best of each. Nothing passes through the driver. Ties go to the
+    smaller (integer) id; null vectors take no part. ``vector_index.search`` looks at a part of the vectors only.
     """
-    out_schema = T.StructType([queries.schema["query_id"], T.StructField(id_col, emb.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
-    vectors = emb.select(id_col, vec_col)
-
-    def answered(block: list) -> DataFrame:
-        matrix = _unit(np.array([r[1] for r in block], dtype=np.float64))
-        return vectors.mapInPandas(_best_per_task(np.array([r[0] for r in block]), matrix, k, id_col, vec_col), out_schema)
-
-    parts, block = [], []
-    for row in queries.select("query_id", vec_col).toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            parts.append(answered(block))
-            block = []
-    if block:
-        parts.append(answered(block))
-    if not parts:
-        return emb.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(0))
+    kind, asked_kind = emb.schema[id_col].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+
+    def packed(df: DataFrame, key: str, key_type: str, rows: int, label: str) -> DataFrame:
+        vectors = df.select(F.col(key), F.col(vec_col).cast("array<double>").alias("vec")).filter("vec is not null")
+        return settle(vectors.mapInArrow(_pack, f"ids array<{key_type}>, units binary"), label, batch_rows=rows)
+
+    blocks = packed(queries, "query_id", asked_kind, QUERY_BLOCK, "query-blocks")
+    blocks = settle(blocks.select(F.col("ids").alias("query_ids"), F.col("units").alias("query_units"), F.monotonically_increasing_id().alias("block")), "numbered-queries")
+    # Every block number goes with every packed row of vectors; the rows themselves are joined by that number.
+    numbers = blocks.agg(F.collect_list("block")).scalar()
+    met = packed(emb, id_col, kind, VECTOR_BATCH, "vector-blocks").withColumn("numbers", numbers)
+    met = met.withColumn("block", F.explode("numbers")).drop("numbers").join(blocks, "block")
+    best = met.select("query_ids", "query_units", "ids", "units").mapInArrow(_best_of_blocks(k), f"query_id {asked_kind}, {id_col} {kind}, score double")
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(id_col))
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
+    return best.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
 
 
-def _best_per_task(query_ids: np.ndarray, query_matrix: np.ndarray, k: int, id_col: str, vec_col: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Running winners, one row per query.
-        best_scores = np.full((len(query_ids), 0), 0.0)
-        best_ids = np.empty((len(query_ids), 0), dtype=np.int64)
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per batch: the ids and the unit vectors."""
+    for batch in batches:
+        if batch.num_rows:
+            ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([_unit(_matrix(batch.column(1))).tobytes()], pa.binary())], ["ids", "units"])
+
+
+def _best_of_blocks(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            ids = batch[id_col].to_numpy()
-            fresh = np.round(query_matrix @ _unit(_stack(batch[vec_col])).T, SCORE_DIGITS)
-            scores = np.hstack([best_scores, fresh])
-            pool = np.hstack([best_ids, np.broadcast_to(ids, fresh.shape)])
-            order = np.lexsort((pool, -scores), axis=1)[:, :k]
-            best_scores, best_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(pool, order, 1)
-        width = best_ids.shape[1]
-        yield pd.DataFrame({"query_id": np.repeat(query_ids, width), id_col: best_ids.ravel(), "score": best_scores.ravel()})
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                asked, ids = row.column(0).flatten(), np.asarray(row.column(2).flatten())
+                q, v = (np.frombuffer(row.column(c)[0].as_py(), np.float64).reshape(size, -1) for c, size in ((1, len(asked)), (3, len(ids))))
+                order = np.argsort(ids, kind="stable")
+                scores = np.round(q @ v[order].T, SCORE_DIGITS)
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                yield pa.RecordBatch.from_arrays(
+                    [asked.take(pa.array(np.repeat(np.arange(len(asked)), best.shape[1]))), pa.array(ids[order][best].ravel()),
+                     pa.array(np.take_along_axis(scores, best, 1).ravel())], ["query_id", "id", "score"])
 
     return run
 

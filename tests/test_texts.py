@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityflow.functions.text import collapse_whitespace
-from entityflow.operators import chunks, graph, replies, vectors
+from entityflow.operators import chunks, graph, replies, vector_index, vectors
 
 
 def check_packing(cleaned, chunks_, limit):
@@ -209,3 +209,50 @@ def test_banded_same_direction_and_what_no_plane_cuts(spark, monkeypatch):
     monkeypatch.setattr(vectors, "CUT_ROUNDS", 0)
     got = {r.vec_id: r.dup_of for r in vectors.near_duplicates_banded(table, 0.99, bits=2, bucket_rows=16).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("kind", ["gathered", "spread"])
+def test_vector_index_recall(spark, kind):
+    rng = np.random.default_rng(8)
+    if kind == "gathered":
+        points = rng.normal(size=(60, 32))[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 32)) * 0.3
+    else:
+        points = rng.normal(size=(3000, 10))
+    table = vector_table(spark, points).unionByName(spark.createDataFrame([(99_999, None)], "vec_id long, embedding array<double>"))
+    asked = table.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    index = vector_index.build_index(table)
+    assert index.lists.select(F.sum(F.size("ids"))).first()[0] == len(points)  # every vector is indexed
+    want = {(r.query_id, r.vec_id): r.score for r in vectors.similar(table, asked, 10).collect()}
+    got = vector_index.search(index, table, asked, 10, probes=16).collect()
+    assert np.mean([(r.query_id, r.vec_id) in want for r in got]) >= 0.95 and len(got) == len(want)
+    assert all(abs(want[r.query_id, r.vec_id] - r.score) < 2e-6 for r in got if (r.query_id, r.vec_id) in want)
+    # All cells and all candidates: the exact result.
+    every = vector_index.search(index, table, asked, 10, probes=len(index.cells), keep=len(points)).collect()
+    assert {(r.query_id, r.vec_id) for r in every} == set(want)
+
+
+def test_vector_index_small_tables(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "query_id long, embedding array<double>")
+    assert vector_index.search(vector_index.build_index(none), none, asked.limit(0)).count() == 0
+    one = spark.createDataFrame([(5, [2.0, 0.0, 0.0]), (6, [0.0, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    found = vector_index.search(vector_index.build_index(one), one, asked, 3).orderBy("rank").collect()
+    assert [(r.vec_id, r.score, r["rank"]) for r in found] == [(5, 1.0, 1), (6, 0.0, 2)]
+    assert vectors.similar(none, asked).count() == vectors.similar(one, asked.limit(0)).count() == 0
+
+
+def test_similar_has_no_driver_step(spark):
+    """Queries of several blocks, against one product of all."""
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(900, 6))
+    table = vector_table(spark, points)
+    asked = table.withColumnRenamed("vec_id", "query_id")
+    monkey, vectors.QUERY_BLOCK = vectors.QUERY_BLOCK, 100
+    try:
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vectors.similar(table, asked, 4).collect()}
+    finally:
+        vectors.QUERY_BLOCK = monkey
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 6)
+    order = np.lexsort((np.broadcast_to(np.arange(900), scores.shape), -scores), axis=1)[:, :4]
+    assert got == {(q, n + 1): (int(v), float(scores[q, v])) for q in range(900) for n, v in enumerate(order[q])}
