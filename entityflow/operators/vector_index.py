@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityflow.operators.vectors import SCORE_DIGITS, VECTOR_BATCH, _lists, _matrix, _unit
+from entityflow.operators.vectors import SCORE_DIGITS, VECTOR_BATCH, _matrix, _unit
 from entityflow.session import settle
 
 # Vectors that cells and code books are fitted on, about; they pass through the driver once.
@@ -29,7 +29,7 @@ QUERY_ROWS = 256  # queries that meet a list row at once
 
 @dataclass
 class VectorIndex:
-    """``lists``: (cell, ids, codes) rows of up to LIST_ROWS vectors; ``cells`` and ``books`` are bounded matrices."""
+    """``lists``: (cell, ids, data) rows, data being the joined codes, of up to LIST_ROWS vectors; ``cells`` and ``books`` are bounded matrices."""
 
     lists: DataFrame
     cells: np.ndarray
