@@ -160,6 +160,15 @@ def resolve_scores(spark, sf):
     return scored.select("norm", F.col("form").alias("best_seed"), F.round("score", 3).alias("score"))
 
 
+@query
+def resolve_many_seeds(spark, sf):
+    """Best weighted ratio per distinct normal form, over all customer names as seeds."""
+    norms = view(spark, sf, "fx_names").select(names.normalize_name("raw_name").alias("norm")).distinct()
+    seeds = table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("seed_rank"), F.col("c_name").alias("seed"))
+    scored = resolve.best_scores(norms, seeds)
+    return scored.select("norm", F.col("form").alias("best_seed"), F.round("score", 3).alias("score"))
+
+
 @query
 def resolve_low_threshold(spark, sf):
     """The cascade at threshold 90, where the partial ratios matter."""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from entityflow.functions.names import normalize_name, squeeze, token_set
 from entityflow.functions.text import strip
-from entityflow.operators.similarity import best_seed_udf, lcs_length
+from entityflow.operators.best_match import best_of_seeds
+from entityflow.operators.similarity import lcs_length
 from entityflow.session import settle
 
 # Fixed value: the default canonical names, in rank order.
@@ -22,7 +23,7 @@ SEED_NAMES = [
 ]
 DEFAULT_THRESHOLD = 95.0
 MIN_LENGTH_RATIO = 0.6
-SCORER_SLICE = 5_000
+SCORER_SLICE = 2_000
 SMALL_DICTIONARY = 100
 
 
@@ -184,25 +185,13 @@ def _native_fuzzy(norms: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def best_scores(norms: DataFrame, seeds: DataFrame, slice_size: int = SCORER_SLICE) -> DataFrame:
-    """Best weighted ratio of every distinct ``norm`` over all seeds, whatever its height.
+    """Best weighted ratio of every distinct ``norm`` over all seeds, whatever its height: (norm, form, seed_order, canonical, score).
 
-    The seed list is the dictionary side. It is read in slices of a fixed
-    size, each handed to the scorer, so its whole never has to fit anywhere
-    at once; the slices' winners are reduced per name.
+    Seeds are visited by falling upper bound, block by block (see ``best_match``); names and seeds are tables, so neither has to fit
+    anywhere at once. Without seeds there are no rows.
     """
-    def scored(rows: list[tuple[str, int, str]]) -> DataFrame:
-        return norms.withColumn("b", best_seed_udf(rows)("norm")).select("norm", "b.*")
-
-    parts, chunk = [], []
     indexed = seeds_by_norm(seeds).select("form", "seed_order", "canonical")
-    for form, seed_order, canonical in indexed.orderBy("seed_order").toLocalIterator():
-        chunk.append((form, seed_order, canonical))
-        if len(chunk) == slice_size:
-            parts.append(scored(chunk))
-            chunk = []
-    if chunk:
-        parts.append(scored(chunk))
-    return parts[0] if len(parts) == 1 else _best_of(reduce(DataFrame.unionByName, parts))
+    return _best_of(best_of_seeds(norms, indexed, slice_size))
 
 
 def best_fuzzy(norms: DataFrame, seeds: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,22 +111,3 @@ def weighted_ratio(a: str, b: str) -> float:
         return max(score, token_ratio(a, b) * 0.95)
     scale = 0.9 if stretch <= 8.0 else 0.6
     return max(score, partial_ratio(a, b) * scale, partial_token_ratio(a, b) * 0.95 * scale)
-
-
-def best_seed_udf(seeds: Sequence[tuple[str, int, str]]):
-    """norm -> the best of the (form, order, name) seeds and its score; the earliest seed wins a tie.
-
-    One output row per input row: no name-seed pairs leave the function.
-    """
-    seeds = list(seeds)
-
-    @F.pandas_udf("form string, seed_order int, canonical string, score double")
-    def best(norms: pd.Series) -> pd.DataFrame:
-        rows = []
-        for norm in norms:
-            scored = [weighted_ratio(norm, form) for form, _, _ in seeds]
-            top = scored.index(max(scored))
-            rows.append((*seeds[top], scored[top]))
-        return pd.DataFrame(rows, columns=["form", "seed_order", "canonical", "score"])
-
-    return best

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from entityflow.functions.names import normalize_name, tight_name
 from entityflow.operators import resolve as R
+from entityflow.operators.best_match import SeedBlock
 from entityflow.operators.similarity import lcs_length, weighted_ratio
 
 # Names, canonical name, score (of the best seed when unmatched), matched.
@@ -108,6 +110,44 @@ def test_scorer_slices_agree(spark):
     assert whole == sliced
 
 
+def test_upper_bounds_hold_and_spare_pairs():
+    """No score is above its bound, the best is that of scoring all pairs, and few pairs are scored."""
+    rng = random.Random(5)
+    syllables = ["al", "ba", "co", "den", "er", "fo", "gra", "hil", "in", "jo", "ka", "lu", "mer", "no", "ou", "pi", "qua", "ro", "st", "tu"]
+    def word():
+        return "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    forms = sorted({" ".join(word() for _ in range(rng.randint(1, 3))) for _ in range(1500)}) + ["x x", "é ß", "a"]
+    rng.shuffle(forms)
+    names = [*rng.sample(forms, 40), *(f[:-1] + "z" for f in rng.sample(forms, 40)), *(" ".join(word() for _ in range(2)) for _ in range(40)), "", "q", "x", "x x x"]
+    block = SeedBlock(forms, list(range(len(forms))), forms)
+    for name in names:
+        scores = [weighted_ratio(name, f) for f in forms]
+        assert (np.array(scores) <= block.bounds(name) + 1e-12).all()
+        assert block.best(name) == (max(scores), scores.index(max(scores)))
+        assert block.best(name, 101.0) is None
+    assert block.scored < 0.2 * 2 * len(names) * len(forms)
+
+
+def test_many_seeds_in_blocks(spark):
+    rng = random.Random(6)
+    seeds = random_names(rng, R.SEED_NAMES, 300)
+    norms = sorted({n.lower() for n in random_names(rng, R.SEED_NAMES, 80)} | {""})
+    table_ = R.seed_table(spark, seeds)
+    forms = [(r["form"], r["seed_order"]) for r in R.seeds_by_norm(table_).collect()]
+    got = {r["norm"]: (r["form"], r["score"]) for r in R.best_scores(table(spark, norms, "norm").repartition(3), table_, slice_size=37).collect()}
+    for norm in norms:
+        score, _, form = max((weighted_ratio(norm, f), -o, f) for f, o in forms)
+        assert got[norm] == (form, score)
+    assert len(got) == len(norms)
+
+
+def test_no_seeds_give_no_scores(spark):
+    none = R.seed_table(spark).limit(0)
+    assert R.best_scores(table(spark, ["a"], "norm"), none).count() == 0
+    rows = R.resolve(table(spark, ["Open AI"]), none, scores=True).collect()
+    assert [(r["canonical_name"], r["match_score"], r["matched_seed"]) for r in rows] == [("Open AI", None, False)]
+
+
 def test_native_lcs(spark):
     from entityflow.operators.similarity import _lcs
 
