@@ -160,6 +160,11 @@ top AS (SELECT a, b, score FROM wr QUALIFY row_number() OVER (PARTITION BY a ORD
 ORACLES["resolve_scores"] = with_views(
     f"WITH RECURSIVE {SCORES} SELECT a AS norm, b AS best_seed, round(score, 3) AS score FROM top", "fx_seeds", "fx_names"
 )
+# The same with all customer names as seeds.
+ORACLES["resolve_many_seeds"] = with_views(
+    f"WITH RECURSIVE fx_seeds AS (SELECT c_custkey AS seed_rank, c_name AS seed FROM customer), {SCORES} "
+    "SELECT a AS norm, b AS best_seed, round(score, 3) AS score FROM top", "fx_names"
+)
 LOW_FORM = f"(SELECT seed FROM fx_seeds WHERE {_norm('seed')} = top.b ORDER BY seed_rank DESC LIMIT 1)"
 LOW_OK = "(score >= 90 AND least(length(a), length(b))::DOUBLE / greatest(length(a), length(b), 1) >= 0.6)"
 ORACLES["resolve_low_threshold"] = with_views(
