@@ -15,6 +15,7 @@ from entityflow.functions.times import as_instant, fresh_range
 from entityflow.operators.dedup import accepted_times, unseen
 from entityflow.schemas import FRESHNESS_HOURS
 from entityflow.session import path_exists
+from entityflow.streaming import seen as seen_table
 
 
 def fresh_stream(stream: DataFrame, ts: str = "ts", hours: int | None = FRESHNESS_HOURS, now=None) -> DataFrame:
@@ -123,25 +124,30 @@ def ttl_dedup_stream(stream: DataFrame, key: str, ts: str = "ts", ttl_hours: int
 
 
 def unseen_stream(
-    stream: DataFrame, sink: str, seen: str, checkpoint: str, key: str = "url_key", **trigger
+    stream: DataFrame, sink: str, seen: str, checkpoint: str, key: str = "url_key", use_filter: bool = True, **trigger
 ) -> StreamingQuery:
     """Start a query that writes rows with an unseen key to ``sink`` and adds the keys to ``seen``.
 
-    Each micro-batch writes its own ``batch`` folder of both tables, and reads only the folders of earlier batches, of
-    those only the hash slots that its keys fall in. A batch repeated after a failure replaces its own output and gives the
-    same result. A missing ``seen`` table means that nothing was seen; a table that can't be read is an error.
+    Each micro-batch writes its own ``batch`` folder of both tables and looks its keys up in the generations that the batch before
+    it left (see ``seen``): a bounded number of them, and of each only the slots whose Bloom filter may hold a key;
+    ``use_filter`` off reads all slots of the batch's keys, with the same result. A batch repeated after a failure replaces its own
+    output and gives the same result. A missing ``seen`` table means that nothing was seen; a table that can't be read is an
+    error, and one without manifests is taken in as one generation.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch
-        if path_exists(spark, seen):
-            known = spark.read.parquet(seen).filter((F.col("batch") < batch_id) & F.col(SLOT).isin(_slots(batch, key)))
-            rows = unseen(batch, known, key)
+        generations = seen_table.manifest(spark, seen, batch_id - 1)
+        if generations is None:
+            generations = []
+            if path_exists(spark, seen):
+                earlier = spark.read.parquet(seen).filter(F.col("batch") < batch_id).select(key).distinct()
+                if not earlier.isEmpty():
+                    generations = [seen_table.write_generation(earlier, key, seen, f"_merged/before-{batch_id}", 1)]
+        rows = unseen(batch, seen_table.known_keys(batch, key, seen, generations, use_filter), key) if generations else batch
         # One row per key within the batch, the smallest in column order, so a rerun picks the same.
         new = rows.groupBy(key).agg(F.min(F.struct(*[c for c in batch.columns if c != key])).alias("r")).select(key, "r.*")
         new.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        written = spark.read.parquet(f"{sink}/batch={batch_id}").select(key, _slot(key).alias(SLOT))
-        written.repartition(SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(f"{seen}/batch={batch_id}")
+        seen_table.add_batch(spark.read.parquet(f"{sink}/batch={batch_id}"), key, seen, batch_id, generations)
 
     return (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -149,18 +155,6 @@ def unseen_stream(
     )
 
 
-SLOT = "slot"
-SEEN_SLOTS = 64
-
-
-def _slot(key: str):
-    return F.pmod(F.xxhash64(key), F.lit(SEEN_SLOTS)).cast("int")
-
-
-def _slots(keys: DataFrame, key: str) -> list[int]:
-    return [r[0] for r in keys.select(_slot(key)).distinct().collect()]  # at most SEEN_SLOTS numbers
-
-
 def run_to_table(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet table until the available input is used up."""
     return (

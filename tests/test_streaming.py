@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from entityflow.operators.dedup import ttl_dedup
 from entityflow.streaming import feeds
+from entityflow.streaming import seen as seen_table
 
 START = datetime(2024, 1, 1)
 SCHEMA = "k string, ts timestamp"
@@ -132,3 +133,44 @@ def test_unseen_stream_over_batches_and_broken_table(spark, tmp_path):
     query = feeds.unseen_stream(spark.readStream.schema(schema).json(source), str(tmp_path / "out2"), str(tmp_path / "broken"), str(tmp_path / "check2"))
     with pytest.raises(Exception):
         query.awaitTermination()
+
+
+@pytest.mark.parametrize("use_filter", [True, False])
+def test_unseen_stream_over_ten_batches(spark, tmp_path, use_filter):
+    """Generations are merged, few are left, and the filter changes no result."""
+    rng = random.Random(8)
+    batches = [[(f"k{rng.randrange(60 + 25 * n)}", START + timedelta(minutes=n)) for _ in range(40)] for n in range(10)]
+    write_batches(spark, tmp_path / "in", batches)
+    want = {}
+    for n, rows in enumerate(batches):
+        for k, _ in rows:
+            want.setdefault(k, n)
+    places = [str(tmp_path / p) for p in ("out", "seen", "check")]
+    feeds.unseen_stream(stream(spark, tmp_path / "in"), *places, key="k", use_filter=use_filter).awaitTermination()
+    got = spark.read.parquet(places[0]).collect()
+    assert {r["k"]: r["batch"] for r in got} == want and len(got) == len(want)
+    left = seen_table.manifest(spark, places[1], 9)
+    assert [g[1] for g in left] == [1, 1, 0, 0]  # eight batches in two merged generations, two that wait
+    keys = [r["k"] for name, _, _ in left for r in spark.read.parquet(f"{places[1]}/{name}").collect()]
+    assert sorted(keys) == sorted(want)
+
+
+def test_filters_name_few_slots(spark, tmp_path):
+    """Keys that were never seen are hardly ever looked up, seen ones always."""
+    seen = str(tmp_path / "seen")
+    keys = spark.range(5000).selectExpr("concat('k', id) AS k")
+    seen_table.add_batch(keys, "k", seen, 0, [])
+    generations = seen_table.manifest(spark, seen, 0)
+    fresh = spark.range(300).selectExpr("concat('new', id) AS k")
+    assert seen_table.known_keys(fresh, "k", seen, generations).count() < 0.1 * 5000
+    assert seen_table.known_keys(fresh, "k", seen, generations, use_filter=False).count() > 0.9 * 5000
+    known = seen_table.known_keys(keys.limit(50), "k", seen, generations)
+    assert known.join(keys.limit(50), "k").count() == 50
+
+
+def test_table_without_manifests_is_taken_in(spark, tmp_path):
+    seen = str(tmp_path / "seen")
+    spark.createDataFrame([("a", 3), ("b", 5)], "k string, slot int").write.partitionBy("slot").parquet(f"{seen}/batch=-1")
+    write_batches(spark, tmp_path / "in", [[("a", START), ("c", START)], [("b", START), ("c", START), ("d", START)]])
+    feeds.unseen_stream(stream(spark, tmp_path / "in"), str(tmp_path / "out"), seen, str(tmp_path / "check"), key="k").awaitTermination()
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["c", "d"]
