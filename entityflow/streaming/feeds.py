@@ -14,7 +14,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from entityflow.functions.times import as_instant, fresh_range
 from entityflow.operators.dedup import accepted_times, unseen
 from entityflow.schemas import FRESHNESS_HOURS
-from entityflow.session import path_exists
+from entityflow.session import path_exists, settle
 from entityflow.streaming import seen as seen_table
 
 
@@ -140,7 +140,7 @@ def unseen_stream(
         if generations is None:
             generations = []
             if path_exists(spark, seen):
-                earlier = spark.read.parquet(seen).filter(F.col("batch") < batch_id).select(key).distinct()
+                earlier = settle(spark.read.parquet(seen).filter(F.col("batch") < batch_id).select(key).distinct(), "earlier-keys")
                 if not earlier.isEmpty():
                     generations = [seen_table.write_generation(earlier, key, seen, f"_merged/before-{batch_id}", 1)]
         rows = unseen(batch, seen_table.known_keys(batch, key, seen, generations, use_filter), key) if generations else batch

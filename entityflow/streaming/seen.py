@@ -36,11 +36,10 @@ def _placed(keys: DataFrame, key: str, blocks) -> DataFrame:
 
 
 def write_generation(keys: DataFrame, key: str, seen: str, name: str, level: int) -> tuple[str, int, int]:
-    """Write distinct keys below ``seen/name``, in folders by slot, and their filter; returns the manifest row."""
+    """Write distinct keys, a written table, below ``seen/name``, in folders by slot, and their filter; returns the manifest row."""
     keys.select(key, slot_of(key).alias(SLOT)).repartition(SLOT).sortWithinPartitions(SLOT, key).write.mode("overwrite").partitionBy(SLOT).parquet(f"{seen}/{name}")
-    written = keys.sparkSession.read.schema(keys.select(key).schema).parquet(f"{seen}/{name}")
-    blocks = 1 << max(0, math.ceil(math.log2(max(1, written.count()) * BITS_PER_KEY / BLOCK_BITS)))
-    bits = _placed(written, key, F.lit(blocks)).select("block", F.explode("probes").alias("bit"))
+    blocks = 1 << max(0, math.ceil(math.log2(max(1, keys.count()) * BITS_PER_KEY / BLOCK_BITS)))
+    bits = _placed(keys, key, F.lit(blocks)).select("block", F.explode("probes").alias("bit"))
     word = F.shiftright("bit", 6)
     words = [F.coalesce(F.bit_or(F.when(word == w, F.expr("shiftleft(1L, bit & 63)"))), F.lit(0).cast("long")) for w in range(BLOCK_BITS // 64)]
     bits.groupBy("block").agg(F.array(*words).alias("words")).write.mode("overwrite").parquet(f"{seen}/_filters/{name.strip('_')}")
@@ -81,7 +80,7 @@ def add_batch(keys: DataFrame, key: str, seen: str, batch_id: int, generations:
     while sum(g[1] == level for g in now) >= GENERATIONS:
         due = [g for g in now if g[1] == level]
         parts = [spark.read.schema(keys.select(key).schema).parquet(f"{seen}/{name}") for name, _, _ in due]
-        merged = write_generation(reduce(DataFrame.unionByName, parts).distinct(), key, seen, f"_merged/level{level + 1}-{batch_id}", level + 1)
+        merged = write_generation(settle(reduce(DataFrame.unionByName, parts).distinct(), "merged-keys"), key, seen, f"_merged/level{level + 1}-{batch_id}", level + 1)
         now = [g for g in now if g[1] != level] + [merged]
         level += 1
     spark.createDataFrame(now, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{seen}/_manifests/after-{batch_id}")
