@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -83,4 +84,6 @@ def add_batch(keys: DataFrame, key: str, seen: str, batch_id: int, generations:
         merged = write_generation(settle(reduce(DataFrame.unionByName, parts).distinct(), "merged-keys"), key, seen, f"_merged/level{level + 1}-{batch_id}", level + 1)
         now = [g for g in now if g[1] != level] + [merged]
         level += 1
-    spark.createDataFrame(now, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{seen}/_manifests/after-{batch_id}")
+    names, levels, blocks = zip(*now)
+    rows = pa.table({"name": pa.array(names, pa.string()), "level": pa.array(levels, pa.int32()), "blocks": pa.array(blocks, pa.int64())})
+    spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(f"{seen}/_manifests/after-{batch_id}")
