@@ -535,6 +535,8 @@ UNION ALL SELECT {_node('Startup', '"startupName"')}, 'PUBLISHES', {_node('Produ
 UNION ALL SELECT DISTINCT {_node('Person', 'person')}, 'FOUNDED', {_node('Startup', '"entityName"')}
  FROM fx_links l JOIN gs ON gs.row_id = l.startup_row_id WHERE link_type = 'paper_startup'""", *GRAPH_VIEWS,
 )
+ORACLES["graph_nodes_updated"] = ORACLES["graph_nodes"]
+ORACLES["graph_edges_updated"] = ORACLES["graph_edges"]
 ORACLES["people_in_both"] = with_views(
     f"""WITH {PAPERS} SELECT DISTINCT person FROM (SELECT unnest(authors) AS person FROM ok)
 WHERE person IN (SELECT person FROM fx_links WHERE link_type = 'person_job')""", "fx_papers", "fx_links",

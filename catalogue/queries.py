@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from catalogue.fixtures import NOW, table, view
 from entityflow.functions import labels, names, text, times, urls
-from entityflow.operators import chunks, dedup, enrich, filters, graph, replies, reports, resolve, timed, vector_index, vectors
+from entityflow.operators import chunks, dedup, enrich, filters, graph, graph_state, replies, reports, resolve, timed, vector_index, vectors
 from entityflow.plans import records, run
 from entityflow.schemas import CONTENT, DEFAULT_TARGET, JOB, NEWS, PRODUCT, REQUIRED, RESEARCH_PAPER, STARTUP, PRICING_VALUES
 from entityflow.session import configure, settle, work_path
@@ -783,6 +784,41 @@ def graph_edges(spark, sf):
     return graph.graph_edges(startups, products, authored, founded)
 
 
+def graph_in_batches(spark, sf):
+    """(path, last batch) of a graph state fed by three batches: drafts, late versions and records that go again, then the given ones."""
+    startups, products, authored = graph_inputs(spark, sf)
+    links = view(spark, sf, "fx_links").filter("link_type = 'paper_startup'")
+    founded = links.join(startups, links.startup_row_id == startups.row_id).select("person", "entityName")
+
+    def changes(version, papers=authored, products=products):
+        version = F.lit(version)
+        parts = [graph_state.startup_changes(startups, version), graph_state.product_changes(products, version),
+                 graph_state.paper_changes(papers, version), graph_state.founder_changes(founded, version)]
+        return reduce(DataFrame.unionByName, parts)
+
+    drafts = authored.withColumn("authors", F.concat(F.slice("authors", 1, 1), F.array(F.lit("Draft Author"))))
+    passing = authored.withColumn("paper_url", F.concat("paper_url", F.lit("#gone")))
+    elsewhere = products.withColumn("startupName", F.concat(F.lit("Not "), "startupName"))
+    odd = F.pmod(F.xxhash64("record_id"), F.lit(2)) == 1
+    path = work_path(spark, "graph")
+    drawn = changes(1, drafts, elsewhere)
+    graph_state.apply_changes(drawn.where(~odd).unionByName(graph_state.paper_changes(passing, F.lit(1))), path, 0)
+    graph_state.apply_changes(changes(3).where(odd), path, 1)
+    gone = graph_state.removals(graph_state.paper_changes(passing, F.lit(2)))
+    graph_state.apply_changes(changes(2).where(~odd).unionByName(drawn.where(odd)).unionByName(gone), path, 2)
+    return path, 2
+
+
+@query
+def graph_nodes_updated(spark, sf):
+    return graph_state.nodes(spark, *graph_in_batches(spark, sf))
+
+
+@query
+def graph_edges_updated(spark, sf):
+    return graph_state.edges(spark, *graph_in_batches(spark, sf))
+
+
 @query
 def people_in_both(spark, sf):
     links = view(spark, sf, "fx_links").filter("link_type = 'person_job'")

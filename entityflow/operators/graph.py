@@ -13,8 +13,11 @@ AUTHORED, FOUNDED, PUBLISHES = "AUTHORED", "FOUNDED", "PUBLISHES"
 
 
 def node_id(node_type: str, key) -> Column:
-    key = F.col(key) if isinstance(key, str) else key
-    return F.sha2(F.concat_ws("|", F.lit(node_type), key), 256)
+    return node_id_of(F.lit(node_type), F.col(key) if isinstance(key, str) else key)
+
+
+def node_id_of(node_type: Column, key: Column) -> Column:
+    return F.sha2(F.concat_ws("|", node_type, key), 256)
 
 
 def _nodes(df: DataFrame, node_type: str, key: Column) -> DataFrame:
