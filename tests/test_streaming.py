@@ -174,3 +174,17 @@ def test_table_without_manifests_is_taken_in(spark, tmp_path):
     write_batches(spark, tmp_path / "in", [[("a", START), ("c", START)], [("b", START), ("c", START), ("d", START)]])
     feeds.unseen_stream(stream(spark, tmp_path / "in"), str(tmp_path / "out"), seen, str(tmp_path / "check"), key="k").awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["c", "d"]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_reads_a_table_file_or_folder(spark, tmp_path, files):
+    """A table of one file and one kept as a folder of part files arrive whole."""
+    from catalogue.queries import QUERIES
+
+    rows = spark.createDataFrame([(i, f"http://example.org/{i % 20}", "<p>x</p>") for i in range(30)], "page_id bigint, url string, html string")
+    if files == 1:
+        rows.toPandas().to_parquet(tmp_path / "pages.parquet")
+    else:
+        rows.repartition(files).write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["unseen_stream"](spark, str(tmp_path))
+    assert sorted((r["page_id"], r["url"]) for r in got.collect()) == [(i, f"http://example.org/{i}") for i in range(20)]
