@@ -201,3 +201,28 @@ print("FOUND", cards.extract_company_cards(sites.pages_for_site(pages, sites.sit
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "FOUND 1" in out.stdout, out.stderr[-2000:]
+
+
+def test_bare_start_tags_are_read_in_runs(monkeypatch):
+    """Thousands of nested elements without attributes cost no parser step each; the page is read as before."""
+    steps = []
+    plain = markup.HTMLParser.parse_starttag
+    monkeypatch.setattr(markup.HTMLParser, "parse_starttag", lambda self, i: steps.append(i) or plain(self, i))
+    page = markup.Page("<a href=/d>" + "<i><b>" * 2000 + "De<br>ep</a><i><li>x<LI>y</i><script><p></script>", implied=True)
+    assert len(steps) < 10
+    assert [page.nodes[0].text(), len(page.nodes)] == ["Deep", 4006]
+    assert [(n.text(), n.parent.tag) for n in markup.select(page.nodes, "li")] == [("x", "i"), ("y", "i")]
+    assert [n.text() for n in markup.select(page.nodes, "script, p")] == ["<p>"]
+
+
+@pytest.mark.parametrize("name", ["fx_wild_pages", "fx_card_pages"])
+def test_pages_are_dealt_by_number(spark, tmp_path, name):
+    """A small file whose rows each become a page is no single task, and a filter on the body stays behind the dealing out."""
+    from catalogue.fixtures import TASK_PAGES, view
+
+    place = str(tmp_path / "customer.parquet")
+    spark.range(2 * TASK_PAGES + 1).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(place)
+    df = view(spark, str(tmp_path), name).filter(F.col("html").contains("<"))
+    assert df.rdd.getNumPartitions() == 3 and df.count() == 2 * TASK_PAGES + 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Filter") < plan.index("Exchange")
