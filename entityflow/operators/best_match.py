@@ -2,11 +2,13 @@
 
 What two texts can share is at most what their character counts share. From that and their lengths follows an upper
 bound of each part of the weighted ratio. A name's seeds are scored from the highest bound down, until no bound that is left
-reaches the best score; so few pairs are scored, and the result is that of scoring all.
+reaches the best score; so few pairs are scored, and the result is that of scoring all. Where bounds tell little, as among
+seeds that are alike, seeds that differ only in characters the name lacks have one score, computed once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +21,8 @@ from entityflow.session import settle
 
 CLASSES = 48  # characters are counted by code modulo this
 NAME_ROWS = 512  # names that meet a block of seeds at once
+TASK_BLOCKS = 8  # blocks of seeds that a task takes
+KNOWN_SCORES = 200_000  # scores that a task keeps
 
 
 def histogram(texts: list[str]) -> np.ndarray:
@@ -30,6 +34,44 @@ def histogram(texts: list[str]) -> np.ndarray:
     return out
 
 
+class Scorer(dict):
+    """The weighted ratio of one name and any text, kept by what of the text matters: its characters that the name has, and where.
+
+    A text enters the ratio whole, as its sorted words, and as its sorted words that the name lacks. Of each only the length
+    and the places of the name's characters count, so the others are read as one foreign character.
+    """
+
+    def __init__(self, name: str):
+        super().__init__()
+        self.name, self.words = name, set(name.split())
+        foreign = next(c for c in range(len(name) + 1) if chr(c) not in name)
+        self.mask = _Mask({ord(c): c for c in name}, foreign)
+
+    def score(self, text: str) -> tuple[float, bool]:
+        """The ratio, and whether it had to be computed."""
+        words = text.split()
+        key = text.translate(self.mask)
+        if words != [text]:
+            rest = " ".join(sorted(set(words) - self.words)).translate(self.mask)
+            key = key, " ".join(sorted(words)).translate(self.mask), rest, frozenset(self.words.intersection(words))
+        found = self.get(key)
+        if found is not None:
+            return found, False
+        if len(self) >= KNOWN_SCORES // NAME_ROWS:
+            self.clear()
+        found = self[key] = weighted_ratio(self.name, text)
+        return found, True
+
+
+class _Mask(dict):
+    def __init__(self, own: dict[int, str], foreign: int):
+        super().__init__(own)
+        self.foreign = foreign
+
+    def __missing__(self, code: int) -> int:
+        return self.foreign
+
+
 class SeedBlock:
     """A count-filter index of seeds: (form, order, canonical), in order of the seeds."""
 
@@ -65,17 +107,17 @@ class SeedBlock:
         bound = np.where(stretch < 1.5, close, far) + 1e-9
         return np.where(short > 0, bound, 0.0)
 
-    def best(self, name: str, least: float = 0.0) -> tuple[float, int] | None:
+    def best(self, name: str, least: float = 0.0, scorer: Scorer | None = None) -> tuple[float, int] | None:
         """The highest score and its earliest seed; None if no seed reaches ``least``, a score that is known already."""
-        bound = self.bounds(name)
+        bound, scorer = self.bounds(name), Scorer(name) if scorer is None else scorer
         # A score is never below 0, which the first seed has at least.
         top = (0.0, 0) if least <= 0 else None
         score = max(0.0, least)
         for k in np.argsort(-bound, kind="stable").tolist():
             if bound[k] <= 0 or bound[k] < score:
                 break
-            self.scored += 1
-            found = weighted_ratio(name, self.seeds[k][0])
+            found, computed = scorer.score(self.seeds[k][0])
+            self.scored += computed
             if found > score or (found == score and (top is None or k < top[1])):
                 score, top = found, (found, k)
         return top
@@ -91,19 +133,25 @@ def _packed_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _best_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(names, block, form, seed_order, canonical) -> the best seed of the block for each name that it may be the best of."""
     built: dict[int, SeedBlock] = {}
-    names, known = None, {}
+    known: dict[str, float] = {}
+    scorers: dict[str, Scorer] = {}
     for batch in batches:
         for n in range(batch.num_rows):
             row = batch.slice(n, 1).to_pylist()[0]
-            if row["names"] != names:
-                names, known = row["names"], {}
+            names = row["names"]
+            if len(scorers) > NAME_ROWS:
+                scorers.clear()
+            if len(known) > KNOWN_SCORES:
+                known.clear()
             if row["block"] not in built:
                 if len(built) >= 16:
                     built.clear()
                 built[row["block"]] = SeedBlock(row["form"], row["seed_order"], row["canonical"])
             block, found = built[row["block"]], []
             for name in names:
-                top = block.best(name, known.get(name, 0.0))
+                if name not in scorers:
+                    scorers[name] = Scorer(name)
+                top = block.best(name, known.get(name, 0.0), scorers[name])
                 if top is not None:
                     known[name] = max(known.get(name, 0.0), top[0])
                     found.append((name, *block.seeds[top[1]], top[0]))
@@ -117,8 +165,8 @@ def best_of_seeds(norms: DataFrame, indexed: DataFrame, block_rows: int) -> Data
     """(norm, form, seed_order, canonical, score): for each distinct name the best of some blocks of seeds; its best is among them.
 
     ``indexed`` has (form, seed_order, canonical). Seeds are packed in rows of ``block_rows``, names in rows of NAME_ROWS; each
-    row of names meets every row of seeds. While the seeds are few, Spark brings them to the names, else both are
-    shuffled by block. Nothing passes through the driver. A name that waits for its next block keeps its best score, which
+    row of names meets every row of seeds. Blocks of seeds are dealt to tasks by their number, since a small file of them is much
+    work; Spark brings the smaller side to the other or shuffles both by block. Nothing passes through the driver. A name that waits for its next block keeps its best score, which
     spares that block. Without seeds there are no rows.
     """
     seeds = indexed.select("form", F.col("seed_order").cast("int").alias("seed_order"), "canonical")
@@ -126,5 +174,6 @@ def best_of_seeds(norms: DataFrame, indexed: DataFrame, block_rows: int) -> Data
     blocks = settle(blocks.withColumn("block", F.monotonically_increasing_id()), "numbered-seeds")
     packed = settle(norms.select(F.col("norm").alias("names")).mapInArrow(_packed_seeds, "names array<string>"), "name-blocks", batch_rows=NAME_ROWS)
     met = packed.withColumn("numbers", blocks.agg(F.collect_list("block")).scalar()).withColumn("block", F.explode("numbers")).drop("numbers")
-    rows = met.join(blocks, "block").select("names", "block", "form", "seed_order", "canonical")
+    dealt = blocks.repartition(max(1, math.ceil(blocks.count() / TASK_BLOCKS)))
+    rows = dealt.join(met, "block").select("names", "block", "form", "seed_order", "canonical")
     return rows.mapInArrow(_best_of_blocks, "norm string, form string, seed_order int, canonical string, score double")
