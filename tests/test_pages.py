@@ -226,3 +226,14 @@ def test_pages_are_dealt_by_number(spark, tmp_path, name):
     assert df.rdd.getNumPartitions() == 3 and df.count() == 2 * TASK_PAGES + 1
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Filter") < plan.index("Exchange")
+
+
+def test_company_pages_are_dealt_by_number(spark, tmp_path):
+    """The directory pages of the full run are read by as many tasks as their number asks for, not by one per small file."""
+    from catalogue.fixtures import TASK_PAGES
+    from catalogue.queries import company_pages
+
+    place = str(tmp_path / "customer.parquet")
+    spark.range(2 * TASK_PAGES + 1).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(place)
+    df = company_pages(spark, str(tmp_path)).filter(F.col("html").isNotNull())
+    assert df.rdd.getNumPartitions() == 3 and df.count() == 2 * TASK_PAGES + 1
